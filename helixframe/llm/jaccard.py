@@ -48,7 +48,7 @@ from .words import Words, as_bytes, chunks, mix
 
 HEAVY = 1 << 16
 HEAVY_SHARE = 0.01
-FRAGMENT_ROWS = 2_000_000
+FRAGMENT_ROWS = 1_000_000
 SEGMENTS = 16
 CELLS = 64
 STARS = 3

@@ -15,7 +15,7 @@ import pyarrow as pa
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 2**64))
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 
 def _tables():
@@ -50,7 +50,7 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
             a = np.full(size, r, _U)
             a[0] = 1
             _powers[name] = np.cumprod(a)
-        if size > 4 * CHUNK:  # of one very long text: not kept
+        if size > 8 * CHUNK:  # of one very long text: not kept
             return _powers.pop("up"), _powers.pop("down")
     return _powers["up"], _powers["down"]
 
