@@ -70,7 +70,7 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), max_repeat: float = 3.0)
 
 def _rank(u: Column, pi: Column) -> Column:
     """Pareto rank q = odds(u) / odds(pi), mapped to q / (1 + q) in [0, 1)."""
-    q = (u / (F.lit(1.0) - u)) / (pi / (F.lit(1.0) - pi))
+    q = (u / (F.lit(1.0) - u)) / F.nullif(pi / (F.lit(1.0) - pi), F.lit(0.0))  # null where nothing is drawn
     return q / (F.lit(1.0) + q)
 
 
