@@ -113,14 +113,15 @@ def judge(spark: SparkSession, docs: DataFrame, host_rate: float = HOST_RATE) ->
 def keep_good(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents that the rules and their host's verdict keep, with their own columns.
 
-    Texts are measured twice, once for the hosts and once for the decision: neither texts nor
-    rows are written or shuffled in between, and the host table's size is known to the join.
+    The host table is made first and joined to the measured rows; the decision needs no id.
     """
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "source", "text")
-    flags = lambda d: measure(d).withColumn("base_failed", base_failed()).withColumn("soft_failed", soft_failed())
-    hosts = cut(spark, host_verdicts(flags(docs.select("source", "text")).select("source", "base_failed", "soft_failed")), "hosts")
+    m = measure(packed).withColumn("base_failed", base_failed()).withColumn("soft_failed", soft_failed())
+    m = cut(spark, m.select("_row", "source", "base_failed", "soft_failed"), "rules-docs")
+    # written first, so that the join knows the host table's size and need not shuffle texts
+    hosts = cut(spark, host_verdicts(m.select("source", "base_failed", "soft_failed")), "hosts")
     kept = ~F.col("base_failed") & ~(F.col("strict") & F.col("soft_failed"))
-    return flags(packed).select("_row", "source", "base_failed", "soft_failed").join(hosts, F.col("source").eqNullSafe(F.col("host"))).where(kept).select("_row.*")
+    return m.join(hosts, F.col("source").eqNullSafe(F.col("host"))).where(kept).select("_row.*")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
