@@ -82,15 +82,20 @@ def soft_failed() -> Column:
     )
 
 
-def host_verdicts(measured: DataFrame, host: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
+def host_counts(measured: DataFrame, host: str = "source") -> DataFrame:
+    """One row per host: host, n, failures."""
+    return measured.groupBy(F.col(host).alias("host")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("base_failed") | F.col("soft_failed")).cast("bigint")).alias("failures")
+    )
+
+
+def host_verdicts(counts: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
     """One row per host: host, n, failures, rate (posterior mean), strict.
 
     The prior is Beta(m * k, (1 - m) * k): m the mean rate of hosts, k from their variance v as
     m (1 - m) / v - 1, held within [1, 1000]; without spread k is 1000.
     """
-    per = measured.groupBy(F.col(host).alias("host")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum((F.col("base_failed") | F.col("soft_failed")).cast("bigint")).alias("failures")
-    ).withColumn("raw", F.col("failures") / F.col("n"))
+    per = counts.withColumn("raw", F.col("failures") / F.col("n"))
     prior = per.agg(F.avg("raw").alias("m"), F.var_pop("raw").alias("v"))
     k = F.when(F.col("v") > 0, F.least(F.greatest(F.col("m") * (1 - F.col("m")) / F.col("v") - 1, F.lit(1.0)), F.lit(1000.0))).otherwise(F.lit(1000.0))
     prior = prior.select("m", k.alias("k"))  # one row
@@ -102,7 +107,7 @@ def judge(spark: SparkSession, docs: DataFrame, host_rate: float = HOST_RATE) ->
     """doc_id, host, the measures, base_failed, soft_failed, host_rate, kept; a row per document."""
     m = measure(docs.select("doc_id", "source", "text")).drop("text")
     m = cut(spark, m.withColumn("base_failed", base_failed()).withColumn("soft_failed", soft_failed()), "rules")
-    hosts = host_verdicts(m, host_rate=host_rate)
+    hosts = host_verdicts(cut(spark, host_counts(m), "host-counts"), host_rate)
     kept = ~F.col("base_failed") & ~(F.col("strict") & F.col("soft_failed"))
     return (
         m.join(hosts, F.col("source").eqNullSafe(F.col("host")))
@@ -113,15 +118,18 @@ def judge(spark: SparkSession, docs: DataFrame, host_rate: float = HOST_RATE) ->
 def keep_good(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents that the rules and their host's verdict keep, with their own columns.
 
-    The host table is made first and joined to the measured rows; the decision needs no id.
+    Texts are measured twice, once for the host table and once for the decision, so that no copy of
+    them is written; the decision needs no id. It is one number made of both sides of the join, with
+    no operand that must not be null: predicates on the measures alone, inferred null checks too,
+    would be pushed below the arrays and make them again.
     """
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "source", "text")
-    m = measure(packed).withColumn("base_failed", base_failed()).withColumn("soft_failed", soft_failed())
-    m = cut(spark, m.select("_row", "source", "base_failed", "soft_failed"), "rules-docs")
+    m = measure(packed).select("_row", "source", base_failed().alias("base_failed"), soft_failed().alias("soft_failed"))
     # written first, so that the join knows the host table's size and need not shuffle texts
-    hosts = cut(spark, host_verdicts(m.select("source", "base_failed", "soft_failed")), "hosts")
-    kept = ~F.col("base_failed") & ~(F.col("strict") & F.col("soft_failed"))
-    return m.join(hosts, F.col("source").eqNullSafe(F.col("host"))).where(kept).select("_row.*")
+    hosts = cut(spark, host_verdicts(cut(spark, host_counts(m), "host-counts")), "hosts")
+    base, soft, strict = (F.coalesce(F.col(c).cast("int"), F.lit(0)) for c in ("base_failed", "soft_failed", "strict"))
+    rejected = base * 2 + strict * soft
+    return m.join(hosts, F.col("source").eqNullSafe(F.col("host"))).where(rejected == 0).select("_row.*")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
