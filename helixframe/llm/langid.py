@@ -29,15 +29,19 @@ PER_LANG = 300
 WINDOWS = 4
 STEPS = 400
 MAX_LANGS = 500
+MARGIN = 4
 
 
 def sample(spark: SparkSession, docs: DataFrame, per_lang: int = PER_LANG) -> tuple[np.ndarray, list[str]]:
     """Windows (n x WINDOW bytes, zero-padded) and their languages, from a bounded sample: the
     ``per_lang`` documents of least hash of each of the ``MAX_LANGS`` most frequent languages."""
     rows = docs.where((fold(F.col("doc_id"), 4) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = rows.where(F.col("lang").isin(langs)).select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_lang)
+    langs = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    # hashes above these are not among the least (distinct ids: but by a chance below 1e-100) and are not shuffled
+    limits = [(r[0], min(2**63 - 1, -(2**63) + 2**64 * MARGIN * per_lang // r[1])) for r in langs]
+    limits = spark.createDataFrame(limits, "_lang string, _limit bigint")
+    ids = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).join(F.broadcast(limits), (F.col("lang") == F.col("_lang")) & (F.col("h") <= F.col("_limit")))
+    ids = ids.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("n") <= per_lang)
     wanted = spark.createDataFrame([(r[0],) for r in ids.select("doc_id").distinct().collect()], "doc_id bigint")
 
     def windows(batches):
