@@ -15,14 +15,15 @@ Scale: one scan tokenizes and writes 40 bytes a piece; everything after that mov
 only. Shards are dealt by row, so that no document, source or group of copies gathers in one; a
 shard's packing loses less than one sequence against a perfect split of its tokens.
 
-Edge cases: null or empty text is one piece holding the end id; repeated rows are packed each for
-itself; ties are broken by id and piece; an empty table gives no rows; other columns are not read.
+Edge cases: null or empty text is one piece holding the end id; a null id stays null and is ordered as 0;
+repeated rows are packed each for itself; ties are broken by id and piece; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import base64
 import math
+import re
 import zlib
 
 import numpy as np
@@ -51,19 +52,35 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+#: Runs of blanks that long are beyond the backtracking of the fast encoder's pattern (it gives up
+#: between 500,000 and 1,000,000); texts that have one go to the tokenizer file itself.
+LONG_BLANK = 100_000
+_LONG_BLANK = re.compile(rf"(?<!\s)\s{{{LONG_BLANK}}}")
+
 _encoders: dict = {}
 
 
 def encoder(path: str):
-    """ids of a text, as the tokenizer file gives them without adding special tokens."""
+    """ids of a text, as the tokenizer file gives them without adding special tokens. ``path``: the
+    ranks; the tokenizer file of the same name lies beside it."""
     if path not in _encoders:
         import public_tokenizers
         import tiktoken
+        import tokenizers
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        e = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
-        _encoders[path] = lambda t: e.encode(t, allowed_special="all") if any(s in t for s in SPECIAL) else e.encode_ordinary(t)
+        fast = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+        slow = []
+
+        def encode(t: str) -> list[int]:
+            if len(t) >= LONG_BLANK and _LONG_BLANK.search(t):
+                if not slow:
+                    slow.append(tokenizers.Tokenizer.from_file(path.removesuffix(".tiktoken") + ".json"))
+                return slow[0].encode(t, add_special_tokens=False).ids
+            return fast.encode(t, allowed_special="all") if any(s in t for s in SPECIAL) else fast.encode_ordinary(t)
+
+        _encoders[path] = encode
     return _encoders[path]
 
 
@@ -226,12 +243,15 @@ def _finish(key, items: pd.DataFrame, elites: pd.DataFrame) -> pd.DataFrame:
     n = int(bins.max()) + 1 if len(bins) else 0
     out = pd.concat([items, full.assign(bin=np.arange(n, n + len(full)), offset=0)])
     out["sequence_id"] = (int(key[0]) << 32) + out["bin"].astype(np.int64)
-    return out[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+    return out[["doc_id", "named", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
 
 
 def pack_pieces(spark: SparkSession, rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """rows: the columns of ``pieces``. Returns them with sequence_id and offset."""
-    rows = cut(spark, rows.withColumn("deal", F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id())), "pack-pieces")
+    deal = F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id())
+    # no null ids in pandas, where they would make all ids of a shard floating-point numbers
+    rows = rows.withColumns({"deal": deal, "named": F.col("doc_id").isNotNull(), "doc_id": F.coalesce("doc_id", F.lit(0).cast("bigint"))})
+    rows = cut(spark, rows, "pack-pieces")
     shards = max(1, math.ceil(rows.count() / SHARD))
     rows = rows.withColumn("shard", F.pmod("deal", F.lit(shards)).cast("int")).withColumn("open", (F.col("length") < capacity).cast("int"))
     small = rows.where("open = 1").select("shard", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])).alias("island"), "length", "doc_id", "piece", "ids_crc32", "deal")
@@ -244,10 +264,11 @@ def pack_pieces(spark: SparkSession, rows: DataFrame, capacity: int = CAPACITY)
         )
         elites = cut(spark, small.groupBy("shard", "island").cogroup(guests.groupBy("e_shard", "e_to")).applyInPandas(_epoch(epoch, capacity), ELITE), f"pack-epoch{epoch}")
     best = elites.where("place = 0").select(*[F.col(c).alias(f"e_{c}") for c in elites.columns])
-    return (
+    placed = (
         rows.groupBy("shard").cogroup(best.groupBy("e_shard"))
-        .applyInPandas(_finish, f"{PIECE}, sequence_id bigint, offset bigint")
+        .applyInPandas(_finish, f"{PIECE}, named boolean, sequence_id bigint, offset bigint")
     )
+    return placed.withColumn("doc_id", F.when(F.col("named"), F.col("doc_id"))).drop("named")
 
 
 def pack(spark: SparkSession, docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
