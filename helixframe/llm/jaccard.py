@@ -397,8 +397,11 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 3, num: in
 def keep_one(spark: SparkSession, docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The documents without those that another of their component stands for (the smallest id
     stays; rows that repeat its id stay with it)."""
-    gone = jaccard_components(spark, docs, k, num, den).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = "_gone"
+    while name in docs.columns:
+        name += "_"
+    gone = jaccard_components(spark, docs, k, num, den).where("doc_id <> component_id").select(F.col("doc_id").alias(name))
+    return docs.join(gone, F.col("doc_id") == F.col(f"`{name}`"), "left_anti")
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
