@@ -91,3 +91,12 @@ def boundary_match(c: Column, taxon: str) -> Column:
 
 def distance_category(shared: Column, places: int = 5) -> Column:
     return F.when(shared == 0, 0).otherwise(F.least(F.floor((shared + 1) / 2), F.lit(places))).cast("int")
+
+LINEAGE_JSON = "taxid bigint, name string, lineage array<struct<rank:string,name:string>>"
+
+
+def from_document(c: Column) -> Column:
+    """A taxon document (JSON): taxid, name, and its ranked names in order, unranked ones left out."""
+    d = F.from_json(c, LINEAGE_JSON)
+    ranks = F.filter(d["lineage"], lambda x: x["rank"].isNotNull() & x["name"].isNotNull())
+    return F.struct(d["taxid"].alias("taxid"), d["name"].alias("name"), F.coalesce(F.transform(ranks, lambda x: F.concat_ws(":", x["rank"], x["name"])), F.array().cast("array<string>")).alias("ranks"))

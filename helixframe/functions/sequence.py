@@ -164,3 +164,11 @@ def codon_statistics(s: pd.Series) -> pd.DataFrame:
     f = np.bincount(row[ok] * 12 + (at[ok] % 3) * 4 + code[ok], minlength=12 * n).reshape(-1, 12).astype(float)
     f /= np.maximum(f.sum(1, keepdims=True), 1)
     return pd.DataFrame({"stops0": stops[:, 0], "stops1": stops[:, 1], "stops2": stops[:, 2], "fickett": f.var(1)})
+
+
+def identity(a: Column, b: Column) -> Column:
+    """Share of equal bases over the length that both have; NaN where that is 0."""
+    bases = lambda c: F.regexp_extract_all(c, F.lit("(?s)(.)"), F.lit(1))
+    n = F.least(F.length(a), F.length(b))
+    same = F.size(F.filter(F.zip_with(bases(a), bases(b), lambda x, y: F.coalesce(x == y, F.lit(False))), lambda x: x))
+    return F.when(n > 0, same / n).otherwise(F.lit(float("nan")))

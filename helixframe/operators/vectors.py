@@ -113,3 +113,29 @@ def sphere(dim: Column, n: int) -> Column:
     y = F.lit(1.0) - 2.0 * (dim + 0.5) / n
     r, a = F.sqrt(1 - y * y), dim * (math.pi * (3 - math.sqrt(5)))
     return F.struct((F.cos(a) * r).alias("x"), y.alias("y"), (F.sin(a) * r).alias("z"))
+
+
+def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, limit: int = 10, metric: str = "cosine", where: Column | None = None) -> DataFrame:
+    """query, rank, neighbour, distance by ``cosine``, ``l2`` or ``dot``, self excluded by id; ``where`` holds for candidates
+    alone. Both frames: id, v. All metrics are inner products: of unit vectors, of the vectors, and for l2 of (q, 1) with
+    (c, -|c|^2 / 2), which orders as the distance does."""
+    if metric not in ("cosine", "l2", "dot"):
+        raise ValueError(f"unknown metric {metric}")
+    v, sq = F.col("v"), dot(F.col("v"), F.col("v"))
+    as_query = {"cosine": unit(v), "dot": v, "l2": F.concat(v, F.array(F.lit(1.0)))}[metric]
+    as_row = {"cosine": unit(v), "dot": v, "l2": F.concat(v, F.array(-sq / 2))}[metric]
+    rows = vectors if where is None else vectors.where(where)
+    edges, _ = neighbours(spark, rows.select("id", as_row.alias("v")), queries.select("id", as_query.alias("v")), limit)
+    if metric == "l2":
+        edges = edges.join(queries.select(F.col("id").alias("query"), sq.alias("sq")), "query")
+    s = F.col("similarity")
+    distance = {"cosine": 1 - s, "dot": -s, "l2": F.sqrt(F.greatest(F.col("sq") - 2 * s, F.lit(0.0))) if metric == "l2" else None}[metric]
+    return edges.select("query", "rank", "neighbour", distance.alias("distance"))
+
+
+def assert_rectangular(df: DataFrame, column: str) -> int:
+    """The common length of all vectors; raises for nulls and unequal lengths."""
+    low, high, n, m = df.agg(F.min(F.size(column)), F.max(F.size(column)), F.count(F.lit(1)), F.count(column)).first()
+    if n != m or low != high:
+        raise ValueError(f"{column}: {n - m} nulls, lengths from {low} to {high}")
+    return low or 0

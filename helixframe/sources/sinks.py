@@ -55,3 +55,29 @@ def reconcile(read: int, *parts: int) -> None:
 def write_json(document: dict, path: str) -> None:
     with open(path, "w") as f:
         json.dump(document, f, indent=2, sort_keys=True, default=str)
+
+
+def append_input(spark: SparkSession, df: DataFrame, path: str, name: str, rows: int) -> None:
+    """The shards of one input, in a folder of its own below ``path``: other inputs' shards stay, a repeated run replaces
+    its own, a failed one leaves none."""
+    target = f"{path}/input={name}"
+    try:
+        write_shards(df, target, rows, "overwrite")
+    except Exception:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(target)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        raise
+
+
+def yaml_manifest(nodes: dict[str, tuple[str, ...]]) -> str:
+    """Tables with what each is made from, as YAML."""
+    lines = []
+    for name, upstream in nodes.items():
+        lines += [f"{json.dumps(name)}:", *(["  upstream:", *[f"    - {json.dumps(u)}" for u in upstream]] if upstream else ["  upstream: []"])]
+    return "\n".join(lines) + "\n"
+
+
+def portable_uri(location: str, root: str) -> str:
+    """A file location relative to ``root``; others as they are."""
+    at = location.find(f"/{root}/")
+    return location[at + 1 :] if location.startswith("file:") and at >= 0 else location
