@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,20 +34,31 @@ def ratio(num: Column, den: Column, default: float = 0.0) -> Column:
     return F.when(den != 0, num / den).otherwise(F.lit(default))
 
 
-def gc_content(seq: Column) -> Column:
-    a, c, g, t = (count_base(seq, b) for b in "ACGT")
+def counts(seq: Column) -> tuple[Column, ...]:
+    return tuple(count_base(seq, b) for b in "ACGT")
+
+
+def with_counts(df: DataFrame, seq: Column) -> tuple[DataFrame, tuple[Column, ...]]:
+    """``df`` with the base counts as columns of a projection of their own, and these: features made of them (argument
+    ``n``) read a sequence once, where expressions in the branches of a CASE would each count again."""
+    names = [f"_n_{b}" for b in "acgt"]
+    return df.withColumns(dict(zip(names, counts(seq)))), tuple(F.col(c) for c in names)
+
+
+def gc_content(seq: Column, n: tuple[Column, ...] | None = None) -> Column:
+    a, c, g, t = n or counts(seq)
     return F.coalesce(ratio(c + g, a + c + g + t), F.lit(0.0))
 
 
-def gc_skew(seq: Column) -> Column:
-    c, g = count_base(seq, "C"), count_base(seq, "G")
+def gc_skew(seq: Column, n: tuple[Column, ...] | None = None) -> Column:
+    _, c, g, _ = n or counts(seq)
     return F.coalesce(ratio(g - c, g + c), F.lit(0.0))
 
 
-def entropy(seq: Column) -> Column:
-    counts = [count_base(seq, b) for b in "ACGT"]
-    total = sum(counts[1:], counts[0])
-    terms = [F.when(n > 0, -(n / total) * F.log2(n / total)).otherwise(F.lit(0.0)) for n in counts]
+def entropy(seq: Column, n: tuple[Column, ...] | None = None) -> Column:
+    n = n or counts(seq)
+    total = sum(n[1:], n[0])
+    terms = [F.when(x > 0, -(x / total) * F.log2(x / total)).otherwise(F.lit(0.0)) for x in n]
     return F.coalesce(sum(terms[1:], terms[0]), F.lit(0.0))
 
 
@@ -68,11 +79,11 @@ def coding(gene_type: Column) -> Column:
     return F.coalesce(gene_type == "<cds>", F.lit(False))
 
 
-def qc_flag(seq: Column, begin: Column, end: Column) -> Column:
+def qc_flag(seq: Column, begin: Column, end: Column, n: tuple[Column, ...] | None = None) -> Column:
     missing = (F.coalesce(F.length(seq), F.lit(0)) == 0) | ~begin.eqNullSafe(F.lit("<s>")) | ~end.eqNullSafe(F.lit("</s>"))
     return (
         F.when(missing, "missing_sequence_boundary_tokens").when(ambiguous(seq), "ambiguous_bases")
-        .when(entropy(seq) < 1.0, "low_complexity").otherwise("clean")
+        .when(entropy(seq, n) < 1.0, "low_complexity").otherwise("clean")
     )
 
 
@@ -82,21 +93,22 @@ def homopolymer(seq: Column) -> Column:
     return F.coalesce(F.array_max(F.transform(runs, F.length)), F.lit(0))
 
 
-def purine_ratio(seq: Column) -> Column:
-    pu, py = count_base(seq, "A") + count_base(seq, "G"), count_base(seq, "C") + count_base(seq, "T")
+def purine_ratio(seq: Column, n: tuple[Column, ...] | None = None) -> Column:
+    a, c, g, t = n or counts(seq)
+    pu, py = a + g, c + t
     return F.when(py > 0, pu / py).otherwise(F.lit(float("inf")))
 
 
-def cpg_odds(seq: Column) -> Column:
+def cpg_odds(seq: Column, n: tuple[Column, ...] | None = None) -> Column:
     """p(CG) / (p(C) p(G)); a pair counts when a canonical base follows it, over valid - 1."""
-    a, c, g, t = (count_base(seq, b) for b in "ACGT")
+    a, c, g, t = n or counts(seq)
     valid = a + c + g + t
     pairs = F.regexp_count(seq, F.lit("CG(?=[ACGT])")) / F.greatest(valid - 1, F.lit(1))
     return F.when((c > 0) & (g > 0), pairs / ((c / valid) * (g / valid))).otherwise(F.lit(0.0))
 
 
-def melting(seq: Column) -> Column:
-    a, c, g, t = (count_base(seq, b) for b in "ACGT")
+def melting(seq: Column, n: tuple[Column, ...] | None = None) -> Column:
+    a, c, g, t = n or counts(seq)
     return F.when(a + c + g + t > 0, 64.9 + 41.0 * (c + g - 16.4) / (a + c + g + t)).otherwise(F.lit(0.0))
 
 

@@ -24,19 +24,21 @@ def normalize(df: DataFrame) -> DataFrame:
 def enrich(df: DataFrame, kmers: bool = False) -> DataFrame:
     """All input columns, then the derived ones; ``kmers`` adds the 64 three-mer frequencies."""
     seq = F.coalesce("sequence", F.lit(""))
+    d, n = S.with_counts(df, seq)
     new = {
-        "gc_content": S.gc_content(seq), "gc_skew": S.gc_skew(seq), "shannon_entropy": S.entropy(seq), "sequence_length": F.length(seq),
+        "gc_content": S.gc_content(seq, n), "gc_skew": S.gc_skew(seq, n), "shannon_entropy": S.entropy(seq, n), "sequence_length": F.length(seq),
         "gene_length": S.gene_length(F.col("start"), F.col("end")), "strand_normalized_sequence": S.reverse_complement(F.col("sequence"), F.col("strand")),
         "taxonomy_domain": L.domain(F.col("taxonomy")), "taxonomy_depth": L.depth(F.col("taxonomy")), "is_coding_region": S.coding(F.col("gene_type")),
-        "qc_flag": S.qc_flag(F.col("sequence"), F.col("begin_of_sequence"), F.col("end_of_sequence")),
+        "qc_flag": S.qc_flag(F.col("sequence"), F.col("begin_of_sequence"), F.col("end_of_sequence"), n),
     }
     if kmers:
         new["kmer_frequency_vector"] = S.kmer_frequencies(F.col("sequence"))
-    return df.withColumns(new)
+    return d.withColumns(new).drop(*d.columns[len(df.columns):])
 
 
 def phase2(df: DataFrame) -> DataFrame:
     """Longest run, purine ratio, CpG odds, melting temperature, stop codons, Fickett proxy."""
     seq = F.coalesce("sequence", F.lit(""))
-    d = df.withColumns({"longest_run": S.homopolymer(seq), "purine_ratio": S.purine_ratio(seq), "cpg_odds": S.cpg_odds(seq), "melting": S.melting(seq), "_c": S.codon_statistics(F.col("sequence"))})
-    return d.select(*[c for c in d.columns if c != "_c"], "_c.*")
+    d, n = S.with_counts(df, seq)
+    d = d.withColumns({"longest_run": S.homopolymer(seq), "purine_ratio": S.purine_ratio(seq, n), "cpg_odds": S.cpg_odds(seq, n), "melting": S.melting(seq, n), "_c": S.codon_statistics(F.col("sequence"))})
+    return d.select(*df.columns, "longest_run", "purine_ratio", "cpg_odds", "melting", "_c.*")

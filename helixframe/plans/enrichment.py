@@ -33,7 +33,8 @@ def seq_features(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {SEQ}
 SELECT lang AS class, count(*) AS n, round(avg(gc), 6) AS mean_gc, round(coalesce(stddev_samp(skew), 0), 6) AS sd_skew FROM feat GROUP BY lang ORDER BY n DESC, class""")
 def seq_features_by_class(spark: SparkSession, d: str) -> DataFrame:
-    s = sequences(spark, d).select(F.col("lang").alias("class"), S.gc_content(F.col("sequence")).alias("gc"), S.gc_skew(F.col("sequence")).alias("skew"))
+    s, n = S.with_counts(sequences(spark, d), F.col("sequence"))
+    s = s.select(F.col("lang").alias("class"), S.gc_content(F.col("sequence"), n).alias("gc"), S.gc_skew(F.col("sequence"), n).alias("skew"))
     return s.groupBy("class").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("gc"), "mean_gc"), r6(F.coalesce(F.stddev_samp("skew"), F.lit(0.0)), "sd_skew")).orderBy(F.desc("n"), "class")
 
 
@@ -77,8 +78,8 @@ def boundary_pairs(spark: SparkSession, d: str) -> DataFrame:
 SELECT CASE WHEN n = 0 OR begin_of_sequence IS DISTINCT FROM '<s>' OR end_of_sequence IS DISTINCT FROM '</s>' THEN 'missing_sequence_boundary_tokens'
   WHEN regexp_matches(sequence, '[^ACGT]') THEN 'ambiguous_bases' WHEN entropy < 1.0 THEN 'low_complexity' ELSE 'clean' END AS qc_flag, count(*) AS n FROM feat GROUP BY 1""")
 def qc_flag_counts(spark: SparkSession, d: str) -> DataFrame:
-    s = sequences(spark, d)
-    return s.groupBy(S.qc_flag(F.col("sequence"), F.col("begin_of_sequence"), F.col("end_of_sequence")).alias("qc_flag")).agg(F.count(F.lit(1)).alias("n"))
+    s, n = S.with_counts(sequences(spark, d), F.col("sequence"))
+    return s.groupBy(S.qc_flag(F.col("sequence"), F.col("begin_of_sequence"), F.col("end_of_sequence"), n).alias("qc_flag")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""WITH {LIN} SELECT p[1] AS domain, len(p)::INTEGER AS depth, count(*) AS n, count(*) FILTER (len(p) < 2) AS thin,
@@ -148,7 +149,8 @@ _WB = "CASE WHEN {x} IS NULL OR {x} < {lo} THEN 0 WHEN {x} >= {hi} THEN {n} + 1
 @query(f"""WITH {SEQ}, b AS (SELECT CASE WHEN n > 0 THEN log10(n) END AS ln, gc FROM feat)
 SELECT {_WB.format(x="ln", lo="1.0", hi="5.0", n=16)} AS length_log_bucket, {_WB.format(x="gc", lo="0.0", hi="1.0", n=10)} AS gc_bucket, count(*) AS n FROM b GROUP BY 1, 2""")
 def length_gc_histogram(spark: SparkSession, d: str) -> DataFrame:
-    s = sequences(spark, d).select(F.length("sequence").alias("n"), S.gc_content(F.col("sequence")).alias("gc"))
+    s, n = S.with_counts(sequences(spark, d), F.col("sequence"))
+    s = s.select(F.length("sequence").alias("n"), S.gc_content(F.col("sequence"), n).alias("gc"))
     log = F.when(F.col("n") > 0, F.log10("n"))
     return s.groupBy(St.bucket(log, 1.0, 5.0, 16).alias("length_log_bucket"), St.bucket(F.col("gc"), 0.0, 1.0, 10).alias("gc_bucket")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -164,7 +166,8 @@ def grouped_moments(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {SEQ}, q AS (SELECT n, gc, CASE WHEN valid > 0 THEN 64.9 + 41.0 * (c + g - 16.4) / valid ELSE 0.0 END AS tm FROM feat)
 SELECT count(*) AS total, count(*) FILTER (gc < 0 OR gc > 1) AS gc_out, count(*) FILTER (tm < 0 OR tm > 120) AS tm_out FROM q""")
 def range_sanity(spark: SparkSession, d: str) -> DataFrame:
-    s = sequences(spark, d).select(S.gc_content(F.col("sequence")).alias("gc"), S.melting(F.col("sequence")).alias("tm"))
+    s, n = S.with_counts(sequences(spark, d), F.col("sequence"))
+    s = s.select(S.gc_content(F.col("sequence"), n).alias("gc"), S.melting(F.col("sequence"), n).alias("tm"))
     return s.agg(F.count(F.lit(1)).alias("total"), F.count_if((F.col("gc") < 0) | (F.col("gc") > 1)).alias("gc_out"), F.count_if((F.col("tm") < 0) | (F.col("tm") > 120)).alias("tm_out"))
 
 
