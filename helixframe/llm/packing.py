@@ -37,6 +37,7 @@ from .common import cut, table
 CAPACITY = 1024
 END_ID = 2
 SHARD = 2048
+ROWS = 1024
 ISLANDS = 2
 EPOCHS = 2
 POPULATION = 3
@@ -66,7 +67,6 @@ def encoder(path: str):
     if path not in _encoders:
         import public_tokenizers
         import tiktoken
-        import tokenizers
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -76,6 +76,8 @@ def encoder(path: str):
         def encode(t: str) -> list[int]:
             if len(t) >= LONG_BLANK and _LONG_BLANK.search(t):
                 if not slow:
+                    import tokenizers  # few workers need it
+
                     slow.append(tokenizers.Tokenizer.from_file(path.removesuffix(".tiktoken") + ".json"))
                 return slow[0].encode(t, add_special_tokens=False).ids
             return fast.encode(t, allowed_special="all") if any(s in t for s in SPECIAL) else fast.encode_ordinary(t)
@@ -88,23 +90,30 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
     """One row per piece of every document, with the CRC-32 of its ids."""
     path = path or ranks_path()
 
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+
+    def few(encode, ids_: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        out: list[list] = [[], [], [], [], []]
+        for doc, text in zip(ids_.to_pylist(), texts):
+            text = text.as_py()
+            ids = np.array(encode(text) if text else [], "<u4")
+            ids = np.append(ids, np.array([END_ID], "<u4"))
+            n = -(-len(ids) // capacity)
+            first = len(ids) - (n - 1) * capacity
+            edges = [0, *range(first, len(ids) + 1, capacity)]
+            raw = memoryview(ids.tobytes())
+            for k in range(n):
+                lo, hi = edges[k], edges[k + 1]
+                for column, v in zip(out, (doc, k, lo, hi - lo, zlib.crc32(raw[4 * lo : 4 * hi]))):
+                    column.append(v)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+
     def run(batches):
+        pa.default_memory_pool().release_unused()  # what an operator before left in this worker
         encode = encoder(path)
         for b in batches:
-            out: list[list] = [[], [], [], [], []]
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = np.array(encode(text) if text else [], "<u4")
-                ids = np.append(ids, np.array([END_ID], "<u4"))
-                n = -(-len(ids) // capacity)
-                first = len(ids) - (n - 1) * capacity
-                edges = [0, *range(first, len(ids) + 1, capacity)]
-                raw = memoryview(ids.tobytes())
-                for k in range(n):
-                    lo, hi = edges[k], edges[k + 1]
-                    for column, v in zip(out, (doc, k, lo, hi - lo, zlib.crc32(raw[4 * lo : 4 * hi]))):
-                        column.append(v)
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            for at in range(0, b.num_rows, ROWS):  # texts as Python strings one by one
+                yield few(encode, b.column(0).slice(at, ROWS), b.column(1).slice(at, ROWS))
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, PIECE)
 
