@@ -28,6 +28,7 @@ from .common import table
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "key", "ssn")
 NEAR = 40
+ROWS = 512
 LEAST = 0.5
 #: Score of a confirmed span without context.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.9, "phone": 0.7, "iban": 0.9, "key": 0.9, "ssn": 0.3}
@@ -136,12 +137,20 @@ def _digest(found: dict[str, list[tuple[int, int]]], kinds) -> str:
     return ",".join(f"{k}:{a}:{b}" for k in kinds for a, b in found[k])
 
 
+def slices(batches):
+    """Batches in pieces of ``ROWS`` rows, so that few texts at a time are Python strings."""
+    pa.default_memory_pool().release_unused()  # what an operator before left in this worker
+    for b in batches:
+        for at in range(0, b.num_rows, ROWS):
+            yield b.slice(at, ROWS)
+
+
 def find_pii(docs: DataFrame) -> DataFrame:
     """doc_id, spans (array of kind, start, end, score) for every document."""
     schema = "doc_id bigint, spans array<struct<kind:string,start:int,end:int,score:double>>"
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for t in b.column(1).to_pylist():
                 t = t or ""
@@ -156,7 +165,7 @@ def redact_documents(docs: DataFrame) -> DataFrame:
     """The documents with personal data replaced, ``n_chars`` made anew; null text stays null."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             at, n = b.schema.get_field_index("text"), b.schema.get_field_index("n_chars")
             texts = [None if t is None else redact(t) for t in b.column(at).to_pylist()]
             b = b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
