@@ -58,8 +58,10 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     seen = np.bincount(np.concatenate([*positive, np.empty(0, np.int64)]).astype(np.int64), minlength=size)
     usual = (np.bincount(np.concatenate([*unlabelled, np.empty(0, np.int64)]).astype(np.int64), minlength=size) + 0.5) / (len(unlabelled) + 1)
     n = len(positive)
+    # unlabelled rows hold a share ``prior`` of toxic ones: without it, the rate in clean text is left
+    clean = np.maximum(usual - prior * seen / n, 0) / (1 - prior)
     # features of hardly any positive, or no more frequent there than chance allows, say nothing of them
-    useful = (seen >= min(SEEN, n)) & (seen / n >= LIFT * usual) & (seen / n - usual >= CHANCE * np.sqrt(usual * (1 - np.minimum(usual, 0.999)) / n))
+    useful = (seen >= min(SEEN, n)) & (seen / n >= LIFT * clean) & (seen / n - usual >= CHANCE * np.sqrt(usual * (1 - np.minimum(usual, 0.999)) / n))
     rows = [Rows([r[useful[r]] for r in x], [np.ones(int(useful[r].sum())) for r in x]) for x in (positive, unlabelled)]
     p, u = rows
     w, b = np.zeros(size), np.array([np.log(prior / (1 - prior))])

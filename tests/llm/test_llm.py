@@ -164,6 +164,23 @@ def test_toxicity_learns_planted_word():
     assert m.weight[7777] > 1 and m.weight[7777] == m.weight.max()
 
 
+@pytest.mark.parametrize("share", [0.1, 0.25, 0.4, 0.6])
+def test_toxicity_separates_whatever_share_is_toxic(share):
+    rng = np.random.default_rng(2)
+
+    def text(toxic):
+        words = rng.integers(0, 3000, 40)
+        marks = 5000 + np.flatnonzero(rng.random(12) < (0.3 if toxic else 0.05))
+        return np.unique(np.append(words, marks))
+
+    toxic = rng.random(3000) < share
+    texts = [text(t) for t in toxic]
+    m = toxicity.fit([text(True) for _ in range(600)], texts, share)
+    z = np.array([m.weight[x].sum() for x in texts])
+    assert (m.weight[5000:5012] > 0).all()
+    assert np.mean(z[toxic][:, None] > z[~toxic][None]) > 0.85
+
+
 def test_pipeline_stages(spark, docs):
     rules = corpus_pipeline.rules(spark, docs, D)
     assert rules.columns == docs.columns and not {0, 1, 2, 3} & {r.doc_id for r in rules.collect()}
