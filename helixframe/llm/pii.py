@@ -2,8 +2,9 @@
 
 Base kinds (email, ip, card, phone) follow fixed patterns, leftmost and without overlap within
 a kind; a match that fails its check (parts over 255, digit counts, Luhn) is dropped without a
-second try. Further kinds: iban (mod-97), key (access keys and tokens of well-known form) and
-ssn (checked number groups). A span's score starts at its kind's value, rises where a word of
+second try. Further kinds: iban (mod-97 over the length of its country; where the country is not in
+``IBAN_LENGTH``, over the longest run of whole words that holds), key (access keys and tokens of
+well-known form) and ssn (checked number groups). A span's score starts at its kind's value, rises where a word of
 its context stands within ``NEAR`` characters before it and falls where a denying word does; base
 spans stay whatever their score, spans of further kinds need ``LEAST``.
 
@@ -39,13 +40,22 @@ CONTEXT = {
     "key": ("key", "token", "secret", "aws"), "ssn": ("ssn", "social", "security"),
 }
 DENY = ("example", "version", "isbn", "sample")
+#: Characters of an IBAN by country (ISO 13616).
+IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27,
+    "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22,
+    "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24,
+    "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
+}
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?: ?[A-Z0-9]){11,30}))")
+_WORD_END = re.compile(r"[A-Z0-9](?![A-Za-z0-9])")
 _KEY = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|xox[abpr]-[A-Za-z0-9-]{10,72})(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _DIGIT = re.compile("[0-9]")
@@ -66,6 +76,23 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Spans of IBANs, leftmost and without overlap: every head is tried, whatever failed before it."""
+    out, last = [], 0
+    for m in _IBAN.finditer(text):
+        a, want = m.start(), IBAN_LENGTH.get(m[0][:2])
+        if a < last:
+            continue
+        ends = [w.end() for w in _WORD_END.finditer(text, m.end(), m.end(1) + 1) if w.end() <= m.end(1)]
+        length = {e: e - a - text.count(" ", a, e) for e in ends}
+        for e in reversed(ends):
+            if (length[e] == want if want else length[e] >= 15) and mod97(text[a:e]):
+                out.append((a, e))
+                last = e
+                break
+    return out
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     """Matches of the email pattern, found from each ``@`` outwards: the local part is the run of
     its characters before the sign, not before the end of the last match."""
@@ -116,20 +143,20 @@ def all_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     found = base_spans(text)
     more = {"iban": [], "key": [], "ssn": []}
     if _DIGIT.search(text):
-        more["iban"] = [m.span() for m in _IBAN.finditer(text) if mod97(m[0])]
+        more["iban"] = ibans(text)
         more["ssn"] = [m.span() for m in _SSN.finditer(text) if m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000"]
     more["key"] = [m.span() for m in _KEY.finditer(text)] if ("AKIA" in text or "_" in text or "-" in text) else []
     return found | {k: [s for s in v if score(k, text, s[0]) >= LEAST] for k, v in more.items()}
 
 
 def redact(text: str) -> str:
-    """Spans of any kind replaced by ``[KIND]``; of overlapping spans the first, then longest."""
+    """Spans of any kind replaced by ``[KIND]``; overlapping spans go as one, named by the first, then longest."""
     spans = sorted((a, -b, KINDS.index(k)) for k, v in all_spans(text).items() for a, b in v)
     out, last = [], 0
     for a, b, k in spans:
         if a >= last:
             out += [text[last:a], f"[{KINDS[k].upper()}]"]
-            last = -b
+        last = max(last, -b)
     return "".join([*out, text[last:]])
 
 

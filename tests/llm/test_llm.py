@@ -124,6 +124,26 @@ def test_pii_by_brute_force(spark):
     assert pii.all_spans(cases[5])["iban"] and pii.all_spans(cases[6])["key"] and "AKIA" not in pii.redact(cases[6])
 
 
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("DE89370400440532013000 BIC COBADEFFXXX", ["DE89370400440532013000"]), ("GB82 WEST 1234 5698 7654 32 BIC X", ["GB82 WEST 1234 5698 7654 32"]),
+        ("DE89 3704 0044 0532 0130 00 2024 x", ["DE89 3704 0044 0532 0130 00"]), ("NO9386011117947 NO9386011117947", ["NO9386011117947"] * 2),
+        ("AB12 DE89 3704 0044 0532 0130 00 CD34", ["DE89 3704 0044 0532 0130 00"]), ("LC55HEMM000100010012001200023015, x", ["LC55HEMM000100010012001200023015"]),
+        ("ZZ22370400440532013000 BIC COBADEFFXXX", ["ZZ22370400440532013000"]), ("DE89370400440532013001 BIC", []), ("DE89370400440532013000x", []), ("DE89 3704 0044 0532", []),
+    ],
+)
+def test_iban_ends_with_its_number(text, want):
+    text = "é " + text
+    assert [text[a:b] for a, b in pii.all_spans(text)["iban"]] == want
+
+
+def test_redact_covers_overlapping_spans():
+    assert pii.redact("pay 4337 1665 9846 4399.john.smith@host.com now") == "pay [CARD] now"
+    assert pii.redact("to DE89370400440532013000 BIC COBADEFFXXX") == "to [IBAN] BIC COBADEFFXXX"
+    assert pii.redact("a@b.c 1.2.3.4, 1.2.3.4@b.cd x") == "[EMAIL] [IP], [EMAIL] x"
+
+
 def test_topk_ties_and_bad_vectors(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [float(x) for x in rng.normal(0, 0.2, 8)], 1) for i in range(60)]
