@@ -41,6 +41,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import WORD, cut, table
 from .components import components
@@ -53,6 +54,7 @@ SEGMENTS = 16
 CELLS = 64
 STARS = 3
 TILE = 512
+SIGNED_ROWS = 512
 _U = np.uint64
 _HEAVY_DF = np.int64(1 << 40)
 
@@ -329,8 +331,8 @@ class _Links:
         self.labels = cut(self.spark, moved.unionByName(fresh), "labels")
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+def _rows_with_components(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """doc_id, n, sig, comp, component_id of every row; of rows without shingles sig and comp are null."""
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
     scan = cut(spark, rows.mapInArrow(_scan(k), "doc_id bigint, n int, sig bigint, heavy bigint"), "jaccard-scan")
     sets = scan.where("sig is not null")
@@ -387,21 +389,55 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 3, num: in
     # smallest id of each component
     members = links.of(sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least")))
     least = members.groupBy("comp").agg(F.min("least").alias("component_id"))
-    named = members.select("sig", "comp").join(least, "comp").select(F.col("sig").alias("_sig"), "component_id")
+    named = members.select("sig", "comp").join(least, "comp").select(F.col("sig").alias("_sig"), "comp", "component_id")
     real = sets.withColumn("sig", F.when(F.col("n") > 0, F.col("sig")))
-    return real.join(named, F.col("sig") == F.col("_sig"), "left").select(
-        "doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    return real.join(named, F.col("sig") == F.col("_sig"), "left").select("doc_id", "n", "sig", "comp", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document."""
+    return _rows_with_components(spark, docs, k, num, den).select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id")
+
+
+def _with_signature(docs: DataFrame, k: int, name: str) -> DataFrame:
+    """docs with the signature of each row's shingle set, null where it is empty."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, SIGNED_ROWS):
+                b = batch.slice(at, SIGNED_ROWS)
+                texts = as_bytes(b.column(b.schema.get_field_index("text")))
+                size, sig = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+                for lo, hi in chunks(texts):
+                    size[lo:hi], sig[lo:hi] = _signatures(hi - lo, *Words(texts[lo:hi]).shingles(k))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sig, mask=size == 0)], [*b.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The documents without those that another of their component stands for (the smallest id
-    stays; rows that repeat its id stay with it)."""
+    """One row of each component, and every row without words. The row of the smallest id stays (null
+    ids last); of rows of one id the one of least signature, then of least columns. Ids that occur once
+    decide by id; texts of the others are read once more to tell their rows apart."""
     name = "_gone"
-    while name in docs.columns:
+    while any(c.startswith(name) for c in docs.columns):
         name += "_"
-    gone = jaccard_components(spark, docs, k, num, den).where("doc_id <> component_id").select(F.col("doc_id").alias(name))
-    return docs.join(gone, F.col("doc_id") == F.col(f"`{name}`"), "left_anti")
+    at = f"{name}sig"
+    rows = cut(spark, _rows_with_components(spark, docs, k, num, den).select("doc_id", "sig", "comp", "component_id"), "jaccard-rows")
+    odd = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m")).where("m > 1 or doc_id is null").select(F.col("doc_id").alias(name))
+    gone = rows.where("doc_id <> component_id").select(F.col("doc_id").alias(name))
+    by_id = lambda ids, how: docs.join(ids, F.col("doc_id") == F.col(f"`{name}`"), how)
+    if odd.isEmpty():
+        return by_id(gone, "left_anti")
+    odd = cut(spark, odd, "jaccard-odd")
+    once = by_id(gone.unionByName(odd.where(f"`{name}` is not null")), "left_anti").where("doc_id is not null")
+    many = _with_signature(docs.join(odd, F.col("doc_id").eqNullSafe(F.col(f"`{name}`")), "left_semi"), k, at)
+    # of rows of the component's id the least signature stands for it
+    stays = rows.where("sig is not null and doc_id <=> component_id").groupBy("comp").agg(F.min("sig").alias(f"{name}s"), F.min("doc_id").alias(name)).drop("comp")
+    first = many.join(stays, (F.col(f"`{at}`") == F.col(f"`{name}s`")) & F.col("doc_id").eqNullSafe(F.col(f"`{name}`")), "left_semi")
+    order = F.struct(*[F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()])
+    first = first.groupBy(at).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias(name)).select(f"{name}.*")
+    return once.unionByName(many.where(F.col(f"`{at}`").isNull()).drop(at)).unionByName(first)
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,6 +88,21 @@ def test_near_duplicates_keep_one_of_each_group(spark, odd):
     assert 1 in kept and 2 not in kept and {3, 4, 6, 7, BIG + 1} <= set(kept)
 
 
+def test_near_duplicates_decide_by_row(spark):
+    """Repeated and null ids: each text stays once, and no other text goes with its id."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (5, b), (5, b.upper()), (None, c), (None, c), (None, c + " end"), (None, b), (7, c.replace("c0 ", "")), (8, "one"), (8, "two"), (9, "one"), (10, None), (10, None), (None, " "), (11, "solo")]
+    docs = spark.createDataFrame([(*r, {"k": "v"}) for r in rows], "doc_id bigint, text string, m map<string,string>").repartition(3)
+    got = jaccard.keep_one(spark, docs)
+    assert got.schema == docs.schema
+    want = [(3, a), (5, b.upper()), (7, c.replace("c0 ", "")), (8, "one"), (8, "two"), (10, None), (10, None), (None, " "), (11, "solo")]
+    first = got.collect()
+    # of the two texts of id 8 neither is a copy of the other
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in first))) == sorted(map(repr, want))
+    nulls = spark.createDataFrame([(None, c)] * 4 + [(None, a)], "doc_id bigint, text string")
+    assert sorted(r.text for r in jaccard.keep_one(spark, nulls).collect()) == [a, c]
+
+
 def test_chat_odd_rows(spark):
     rows = [(1, 0, "user", None), (1, 0, "user", None), (1, None, "assistant", "a\\"), (None, 1, None, "x" * 200_000), (2, 1, "assistant", "")]
     e = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
