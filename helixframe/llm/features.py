@@ -37,16 +37,16 @@ def least_hash_ids(ids: DataFrame, n: int) -> list[int]:
     return [r[0] for r in ids.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).collect()]
 
 
-def features_of(spark: SparkSession, docs: DataFrame, ids: list[int], bits: int, kind, most: int) -> dict[int, np.ndarray]:
-    """Feature numbers with counts of the sampled documents, made on the executors. A training
-    document gives its ``most`` smallest distinct features at most."""
+def features_of(spark: SparkSession, docs: DataFrame, ids: list[int], bits: int, kind) -> dict[int, np.ndarray]:
+    """Feature numbers with counts of the sampled documents, made on the executors: all of
+    a text, 2**bits at most."""
 
     def run(batches):
         for b in batches:
             rows = []
             for t in b.column(1).to_pylist():
                 f, n = np.unique(kind(Words([(t or "").encode()]), bits), return_counts=True)
-                rows.append(np.stack([f[:most], n[:most]]).astype(np.int32).tobytes())
+                rows.append(np.stack([f, n]).astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.binary())], ["doc_id", "f"])
 
     wanted = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")

@@ -27,7 +27,6 @@ from .words import Words, as_bytes, chunks, sums
 
 BITS = 16
 RATED = 6000
-FEATURES = 8192
 STEPS = 300
 KEEP_GRADE = 1
 KEEP = 0.5
@@ -80,7 +79,7 @@ def train(spark: SparkSession, docs: DataFrame, ratings: DataFrame) -> Ordinal |
     ids = least_hash_ids(known, RATED)
     wanted = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
     grade = dict(sorted((r[0], r[1]) for r in known.join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min("grade")).collect()))
-    f = features_of(spark, docs, ids, BITS, shape_features, FEATURES)
+    f = features_of(spark, docs, ids, BITS, shape_features)
     use = [i for i in ids if i in f and f[i].shape[1]]
     grades = sorted({grade[i] for i in use})
     if len(grades) < 2:

@@ -27,7 +27,6 @@ from .words import Words, as_bytes, chunks
 BITS = 18
 POSITIVES = 3000
 UNLABELLED = 6000
-FEATURES = 4096
 STEPS = 150
 THRESHOLD = 0.7
 SEEN = 4
@@ -95,7 +94,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> PUModel |
     rows = docs.where(learn & F.col("doc_id").isNotNull())
     pos = least_hash_ids(known.where("toxic = 1"), POSITIVES)
     unl = least_hash_ids(rows, UNLABELLED)
-    f = features_of(spark, docs, sorted({*pos, *unl}), BITS, word_features, FEATURES)
+    f = features_of(spark, docs, sorted({*pos, *unl}), BITS, word_features)
     # documents of equal features count once: copies of one text are no further evidence
     positive, unlabelled = ([np.frombuffer(b, np.int32) for b in sorted({f[i][0].tobytes() for i in x if i in f})] for x in (pos, unl))
     return fit(positive, unlabelled, prior) if positive else None

@@ -1,13 +1,15 @@
 """Odd tables: nulls in any column, empty and very long texts, ties, repeated rows, empty tables and
 extra columns whose names the operators use inside."""
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from helixframe.llm import chat, jaccard, langid, mixing, ordinal, packing, pii, quality_rules, topk, toxicity
+from helixframe.llm import chat, features, jaccard, langid, mixing, ordinal, packing, pii, quality_rules, topk, toxicity
+from helixframe.llm.words import Words
 
 CLASHES = (
     "_gone", "_row", "_words", "_lines", "_win", "_at", "_lang", "_limit", "size", "u", "h", "n", "sig", "heavy", "host", "strict", "rate", "copies", "copy", "target",
@@ -45,6 +47,16 @@ def test_a_row_for_every_row(spark, odd):
     assert ids(packing.pack(spark, odd).where("piece = 0")) == want
 
 
+def test_training_reads_whole_texts(spark):
+    text = " ".join(f"word{i}" for i in range(9000))
+    docs = spark.createDataFrame([(1, text), (2, "a b a"), (3, None)], "doc_id bigint, text string")
+    for kind, bits in ((features.word_features, toxicity.BITS), (features.shape_features, ordinal.BITS)):
+        got = features.features_of(spark, docs, [1, 2, 3], bits, kind)
+        for i, t in ((1, text), (2, "a b a"), (3, "")):
+            f, n = np.unique(kind(Words([t.encode()]), bits), return_counts=True)
+            assert got[i].tolist() == [f.tolist(), n.tolist()]
+
+
 def test_without_labels(spark, odd):
     none = odd.select("doc_id", F.lit(None).cast("int").alias("toxic"), F.lit(None).cast("int").alias("grade"))
     assert toxicity.train(spark, odd, none) is None and ordinal.train(spark, odd, none) is None
