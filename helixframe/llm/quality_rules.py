@@ -3,9 +3,10 @@
 Every whole text is measured once. Two base rules decide alone (too few words, too many
 repeated words). Softer rules (symbols, duplicate lines, word length, repetition) are counted
 per host; a host's failure rate is shrunk towards a beta prior fitted to all hosts by moments,
-and the verdict on the host is joined back: in a host whose shrunk rate is above
-``HOST_RATE`` a document must pass the softer rules too, elsewhere the base rules suffice. A
-clean document is therefore kept whatever its host.
+and the verdict on the host is joined back: in a strict host a document must pass the softer rules
+too, elsewhere the base rules suffice. A host is strict where its shrunk rate lies above the mean
+of the prior by more than ``SPREAD`` of the prior's standard deviation, that is, where it fails more
+than hosts of this corpus usually do. A clean document is therefore kept whatever its host.
 
 Scale: measuring is one scan without a shuffle; its few numbers per document are written once.
 Host counts are pre-aggregated, the join back is an ordinary equi-join that Spark broadcasts
@@ -24,7 +25,7 @@ from .common import SPACES, WORD, cut, table
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
-HOST_RATE = 0.5
+SPREAD = 0.5
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -89,29 +90,30 @@ def host_counts(measured: DataFrame, host: str = "source") -> DataFrame:
     )
 
 
-def host_verdicts(counts: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
+def host_verdicts(counts: DataFrame, spread: float = SPREAD) -> DataFrame:
     """One row per host: host, n, failures, rate (posterior mean), strict.
 
     The prior is Beta(m * k, (1 - m) * k): m the mean rate of hosts, k from their variance v as
-    m (1 - m) / v - 1, held within [1, 1000]; without spread k is 1000.
+    m (1 - m) / v - 1, held within [1, 1e9]; without spread k is 1e9, and no host is strict.
     """
     per = counts.withColumn("raw", F.col("failures") / F.col("n"))
     prior = per.agg(F.avg("raw").alias("m"), F.var_pop("raw").alias("v"))
-    k = F.when(F.col("v") > 0, F.least(F.greatest(F.col("m") * (1 - F.col("m")) / F.col("v") - 1, F.lit(1.0)), F.lit(1000.0))).otherwise(F.lit(1000.0))
+    k = F.when(F.col("v") > 0, F.least(F.greatest(F.col("m") * (1 - F.col("m")) / F.col("v") - 1, F.lit(1.0)), F.lit(1e9))).otherwise(F.lit(1e9))
     prior = prior.select("m", k.alias("k"))  # one row
     rate = (F.col("failures") + F.col("m") * F.col("k")) / (F.col("n") + F.col("k"))
-    return per.crossJoin(F.broadcast(prior)).withColumn("rate", rate).select("host", "n", "failures", "rate", (F.col("rate") > host_rate).alias("strict"))
+    limit = F.col("m") + spread * F.sqrt(F.col("m") * (1 - F.col("m")) / (F.col("k") + 1))
+    return per.crossJoin(F.broadcast(prior)).withColumn("rate", rate).select("host", "n", "failures", "rate", (F.col("rate") > limit).alias("strict"))
 
 
-def judge(spark: SparkSession, docs: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
-    """doc_id, host, the measures, base_failed, soft_failed, host_rate, kept; a row per document."""
+def judge(spark: SparkSession, docs: DataFrame, spread: float = SPREAD) -> DataFrame:
+    """doc_id, host, the measures, base_failed, soft_failed, host_rate, strict, kept; a row per document."""
     m = measure(docs.select("doc_id", "source", "text")).drop("text")
     m = cut(spark, m.withColumn("base_failed", base_failed()).withColumn("soft_failed", soft_failed()), "rules")
-    hosts = host_verdicts(cut(spark, host_counts(m), "host-counts"), host_rate)
+    hosts = host_verdicts(cut(spark, host_counts(m), "host-counts"), spread)
     kept = ~F.col("base_failed") & ~(F.col("strict") & F.col("soft_failed"))
     return (
         m.join(hosts, F.col("source").eqNullSafe(F.col("host")))
-        .select("doc_id", F.col("source").alias("host"), *MEASURES, "base_failed", "soft_failed", F.col("rate").alias("host_rate"), kept.alias("kept"))
+        .select("doc_id", F.col("source").alias("host"), *MEASURES, "base_failed", "soft_failed", F.col("rate").alias("host_rate"), "strict", kept.alias("kept"))
     )
 
 
@@ -151,8 +153,8 @@ j AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS
       OR 50 * n_dup_lines > n_words AS soft_failed FROM m),
 per AS (SELECT source AS host, count(*) AS n, count(*) FILTER (base_failed OR soft_failed) AS failures FROM j GROUP BY source),
 mom AS (SELECT avg(failures / n) AS m, var_pop(failures / n) AS v FROM per),
-prior AS (SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 1000.0) ELSE 1000.0 END AS k FROM mom),
-host AS (SELECT host, (failures + m * k) / (n + k) > {HOST_RATE} AS strict FROM per, prior),
+prior AS (SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 1e9) ELSE 1e9 END AS k FROM mom),
+host AS (SELECT host, (failures + m * k) / (n + k) > m + {SPREAD} * sqrt(m * (1 - m) / (k + 1)) AS strict FROM per, prior),
 judged AS (SELECT j.*, NOT base_failed AND NOT (strict AND soft_failed) AS kept
            FROM j JOIN host ON j.source IS NOT DISTINCT FROM host.host)
 """
