@@ -2,6 +2,8 @@
 
 Every step is a minimum per node (pre-aggregated) and an equi-join; the number of rounds grows
 with the logarithm of the longest path. Edges are written to the shared folder after each round.
+A node's edges are spread over ``SALTS`` keys, so that a node with a third of all edges is no task
+of its own.
 """
 
 from __future__ import annotations
@@ -12,6 +14,18 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
+SALTS = 256
+
+
+def with_least(edges: DataFrame) -> DataFrame:
+    """edges (u, v) with ``m``, the least v of each u."""
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    part = salted.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    whole = part.groupBy("u").agg(F.min("m").alias("m")).select(F.col("u").alias("_w"), "m")
+    spread = part.select("u", "salt").join(whole, F.col("u") == F.col("_w")).select(F.col("u").alias("_u"), F.col("salt").alias("_s"), "m")
+    return salted.join(spread, (F.col("u") == F.col("_u")) & (F.col("salt") == F.col("_s"))).select("u", "v", "m")
+
+
 def _summary(edges: DataFrame):
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
@@ -22,10 +36,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     before = _summary(e)
     while before[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("lu"), F.least("u", "m").alias("m"))
-        e = both.join(least, F.col("u") == F.col("lu")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("lu"), "m")
-        small = e.join(least, F.col("u") == F.col("lu")).select("u", "v", "m")
+        e = with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        small = with_least(e)
         e = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         e = cut(spark, e.distinct(), "cc")
         now = _summary(e)

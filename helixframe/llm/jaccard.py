@@ -7,8 +7,9 @@ sets link when ``den * intersection >= num * union``.
 
 How it runs:
 
-1. One scan gives each document its set size and a 64-bit signature of its set; equal sets are
-   one class from there on, whatever their number of copies. Shingles that are heavy in a part of the
+1. One scan gives each document its set size and two independent 64-bit signatures of its set. Equal
+   first signatures are one class from there on, whatever their number of copies; where the second
+   signatures differ, they replace the first ones. Shingles that are heavy in a part of the
    scan are counted up, and the ``HEAVY`` most frequent are known to all tasks (a fixed bound).
 2. A second scan deals the other shingles of each class to fragments by range of hash, packed. A
    fragment counts document frequencies and sends back only shingles of two classes or more:
@@ -24,8 +25,11 @@ How it runs:
    different components is lost and nothing is capped.
 5. A pair's segments meet fragment by fragment; partial overlaps are summed per pair.
 
-Hashes are 64-bit; two different shingles or sets count as one with a chance of about
-n * n / 2**65 for n of them.
+Hot shingles and hot pivots: the members of a shingle are spread over ``SALTS`` keys, each of which gets
+a copy of the pivot; a pivot's segments are copied once per ``COPY_PAIRS`` pairs it is compared in.
+
+Shingle hashes are 64-bit: two different shingles count as one with a chance of 2**-64. Sets are told
+apart by 128 bits.
 
 Edge cases: null, empty or blank text has size 0, links with nothing and is its own component;
 fewer words than k are one shingle; repeated rows and equal texts are one class; an empty table
@@ -55,44 +59,57 @@ CELLS = 64
 STARS = 3
 TILE = 512
 SIGNED_ROWS = 512
+SALTS = 256
+COPY_PAIRS = 1024
 _U = np.uint64
 _HEAVY_DF = np.int64(1 << 40)
 
 
-def _signatures(n: int, doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Set sizes and signatures of n documents."""
+def _signatures(n: int, doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Set sizes of n documents, their signatures and what replaces signatures that collide."""
     size = np.bincount(doc, minlength=n)
     at = np.cumsum(size) - size
     some = size > 0
-    sig = np.zeros(n, _U)
+    sig, other = np.zeros(n, _U), np.zeros(n, _U)
     if len(h):
         total = np.add.reduceat(mix(h + _U(0x51)), at[some])
         parity = np.bitwise_xor.reduceat(mix(h ^ _U(0xA7)), at[some])
         sig[some] = mix(total + mix(parity + size[some].astype(_U)))
-    return size, sig.view(np.int64)
+        total = np.add.reduceat(mix(h * _U(0xC2B2AE3D27D4EB4F) + _U(0xB5)), at[some])
+        other[some] = mix(total + mix(sig[some]))
+    return size, sig.view(np.int64), other.view(np.int64)
+
+
+def _settled(sig: np.ndarray, other: np.ndarray, collided: np.ndarray) -> np.ndarray:
+    return np.where(np.isin(sig, collided), other, sig) if len(collided) else sig
+
+
+SCAN = ["doc_id", "n", "sig", "other", "heavy"]
 
 
 def _scan(k: int):
-    """doc_id, n, sig per document; at the end of a task its heavy shingles with counts."""
+    """doc_id, n, sig, other per document; at the end of a task its heavy shingles with counts."""
 
     def run(batches):
         heavy: dict[int, int] = {}
         for b in batches:
             texts = as_bytes(b.column(1))
-            size, sig = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+            size, sig, other = (np.zeros(len(texts), np.int64) for _ in range(3))
             for lo, hi in chunks(texts):
                 doc, h = Words(texts[lo:hi]).shingles(k)
-                size[lo:hi], sig[lo:hi] = _signatures(hi - lo, doc, h)
+                size[lo:hi], sig[lo:hi], other[lo:hi] = _signatures(hi - lo, doc, h)
                 first = np.zeros(hi - lo, bool)
                 first[np.unique(sig[lo:hi], return_index=True)[1]] = True
                 values, counts = np.unique(h[first[doc]], return_counts=True)
                 much = counts >= max(4, HEAVY_SHARE * first.sum())
                 for v, c in zip(values[much].view(np.int64).tolist(), counts[much].tolist()):
                     heavy[v] = heavy.get(v, 0) + c
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size.astype(np.int32)), pa.array(sig), pa.nulls(len(texts), pa.int64())], ["doc_id", "n", "sig", "heavy"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size.astype(np.int32)), pa.array(sig), pa.array(other), pa.nulls(len(texts), pa.int64())], SCAN)
         if heavy:
             n = len(heavy)
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(np.minimum(list(heavy.values()), 2**31 - 1).astype(np.int32)), pa.nulls(n, pa.int64()), pa.array(list(heavy), pa.int64())], ["doc_id", "n", "sig", "heavy"])
+            none = pa.nulls(n, pa.int64())
+            counts = pa.array(np.minimum(list(heavy.values()), 2**31 - 1).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([none, counts, none, none, pa.array(list(heavy), pa.int64())], SCAN)
 
     return run
 
@@ -128,7 +145,7 @@ def _by(key: np.ndarray):
         yield key[order[a]], order[a : a + m]
 
 
-def _deal(k: int, heavy: np.ndarray, fragments: int):
+def _deal(k: int, heavy: np.ndarray, fragments: int, collided: np.ndarray):
     """kind 0: shingles of classes by fragment; kind 1: per class size and heavy shingles, by class."""
 
     def run(batches):
@@ -138,7 +155,8 @@ def _deal(k: int, heavy: np.ndarray, fragments: int):
             for lo, hi in chunks(texts):
                 out = _Blocks()
                 doc, h = Words(texts[lo:hi]).shingles(k)
-                size, sig = _signatures(hi - lo, doc, h)
+                size, sig, other = _signatures(hi - lo, doc, h)
+                sig = _settled(sig, other, collided)
                 new = np.zeros(hi - lo, bool)
                 for i in np.flatnonzero(size):
                     s = int(sig[i])
@@ -262,14 +280,31 @@ def _may_link(n1: Column, p1: Column, n2: Column, p2: Column, num: int, den: int
 
 
 def verify(pairs: DataFrame, segments: DataFrame, num: int, den: int) -> DataFrame:
-    """pairs (a, b, na, nb) that link: partial overlaps per fragment, summed per pair."""
+    """pairs (a, b, na, nb, copies) that link: partial overlaps per fragment, summed per pair. ``b`` may
+    be a hot pivot: its segments are copied ``copies`` times, the same number for all its pairs."""
+    pairs = pairs.withColumn("copy", F.pmod(F.xxhash64("a"), F.col("copies")))
     left = segments.select(F.col("sig").alias("a"), "segment", F.col("tokens").alias("ta"))
-    right = segments.select(F.col("sig").alias("b"), "segment", F.col("tokens").alias("tb"))
-    part = pairs.join(left, "a").join(right, ["b", "segment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("overlap"))
+    hubs = pairs.groupBy("b").agg(F.max("copies").alias("copies"))
+    right = segments.join(hubs, F.col("sig") == F.col("b")).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
+    right = right.select("b", "copy", "segment", F.col("tokens").alias("tb"))
+    part = pairs.join(left, "a").join(right, ["b", "copy", "segment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("overlap"))
     total = part.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
     return total.where(F.col("overlap") * (num + den) >= num * (F.col("na") + F.col("nb"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _star(active: DataFrame, star: int) -> DataFrame:
+    """Members of buckets that hold different components, each beside its bucket's pivot ``p`` and that
+    pivot's number of copies. A bucket's members are spread over ``SALTS`` keys."""
+    active = active.withColumn("salt", F.pmod(F.xxhash64("sig", F.lit("salt")), F.lit(SALTS)).cast("int"))
+    first = F.struct((F.col("single") if star == 0 else F.xxhash64("sig", F.lit(star))).alias("by"), "sig", "n", "pos", "comp")
+    part = active.groupBy("token", "salt").agg(F.min(first).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
+    pivots = part.groupBy("token").agg(F.min("p").alias("p"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("m").alias("m")).where("lo <> hi")
+    hubs = pivots.groupBy(F.col("p.sig").alias("hub")).agg(F.ceil(F.sum("m") / COPY_PAIRS).alias("copies"))
+    pivots = pivots.join(hubs, F.col("p.sig") == F.col("hub")).select(F.col("token").alias("_t"), "p", "copies")
+    spread = part.select("token", "salt").join(pivots, F.col("token") == F.col("_t")).select(F.col("token").alias("_t"), F.col("salt").alias("_s"), "p", "copies")
+    return active.join(spread, (F.col("token") == F.col("_t")) & (F.col("salt") == F.col("_s"))).where("sig <> p.sig").drop("_t", "_s", "salt")
+
+
 def _tiles(num: int, den: int):
     """Pairs of different components that may link, in each tile (rows of left and right side)."""
 
@@ -331,18 +366,24 @@ class _Links:
         self.labels = cut(self.spark, moved.unionByName(fresh), "labels")
 
 
-def _rows_with_components(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, n, sig, comp, component_id of every row; of rows without shingles sig and comp are null."""
+def _rows_with_components(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, np.ndarray]:
+    """doc_id, n, sig, comp, component_id of every row; of rows without shingles sig and comp are null.
+    Also the signatures that had to be replaced."""
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
-    scan = cut(spark, rows.mapInArrow(_scan(k), "doc_id bigint, n int, sig bigint, heavy bigint"), "jaccard-scan")
+    scan = cut(spark, rows.mapInArrow(_scan(k), "doc_id bigint, n int, sig bigint, other bigint, heavy bigint"), "jaccard-scan")
     sets = scan.where("sig is not null")
+    # of n sets about n * n / 2**65 signatures collide: none, or a few of 10 billion
+    collided = sets.where("n > 0").groupBy("sig").agg((F.min("other") != F.max("other")).alias("differ")).where("differ").select("sig").collect()
+    collided = np.array([r[0] for r in collided], np.int64)
+    if len(collided):
+        sets = sets.withColumn("sig", F.when(F.col("sig").isin(collided.tolist()), F.col("other")).otherwise(F.col("sig")))
     top = scan.where("heavy is not null").groupBy("heavy").agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "heavy").limit(HEAVY).select("heavy").collect()
     heavy = np.sort(np.array([r[0] for r in top], np.int64).view(_U))
     total = sets.agg(F.sum("n")).first()[0] or 0
     fragments = max(1, math.ceil(total / FRAGMENT_ROWS))
     classes = cut(
         spark,
-        rows.mapInArrow(_deal(k, heavy, fragments), BLOCK_DDL).groupBy("key").applyInArrow(_fragment(fragments), BLOCK_DDL)
+        rows.mapInArrow(_deal(k, heavy, fragments, collided), BLOCK_DDL).groupBy("key").applyInArrow(_fragment(fragments), BLOCK_DDL)
         .groupBy("key").applyInArrow(_assemble(num, den), CLASS_DDL),
         "jaccard-classes",
     )
@@ -351,17 +392,9 @@ def _rows_with_components(spark: SparkSession, docs: DataFrame, k: int, num: int
     entries = classes.select("sig", "n", "single", "cells", F.posexplode("prefix").alias("place", "token")).withColumn("pos", F.col("place") + F.col("single")).drop("place")
     active = entries.drop("cells")
     for star in range(STARS):
-        # members of buckets that hold different components
-        active = links.of(active.drop("comp"))
-        first = F.struct((F.col("single") if star == 0 else F.xxhash64("sig", F.lit(star))).alias("by"), "sig", "n", "pos", "comp")
-        pivots = active.groupBy("token").agg(F.min(first).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select(F.col("token").alias("t"), "p")
-        met = cut(spark, active.join(pivots, F.col("token") == F.col("t")).where("sig <> p.sig").drop("t"), f"jaccard-star{star}")
+        met = cut(spark, _star(links.of(active.drop("comp")), star), f"jaccard-star{star}")
         pairs = met.where((F.col("comp") != F.col("p.comp")) & _may_link(F.col("n"), F.col("pos"), F.col("p.n"), F.col("p.pos"), num, den))
-        pairs = pairs.select(
-            F.least("sig", "p.sig").alias("a"), F.greatest("sig", "p.sig").alias("b"),
-            F.when(F.col("sig") < F.col("p.sig"), F.col("n")).otherwise(F.col("p.n")).alias("na"),
-            F.when(F.col("sig") < F.col("p.sig"), F.col("p.n")).otherwise(F.col("n")).alias("nb"),
-        ).distinct()
+        pairs = pairs.groupBy(F.col("sig").alias("a"), F.col("p.sig").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb")).agg(F.max("copies").alias("copies"))
         links.add(verify(pairs, segments, num, den))
         active = met.select("token", "sig", "n", "single", "pos")
     # what is left: members of different components in one bucket, tile by tile
@@ -384,22 +417,22 @@ def _rows_with_components(spark: SparkSession, docs: DataFrame, k: int, num: int
     tiles = cut(spark, as_left.select(*cols).unionByName(as_right.select(*cols)), "jaccard-tiles")
     groups = max(1, math.ceil(tiles.count() / 20_000))
     tiles = tiles.join(classes.select("sig", "cells"), "sig").withColumn("g", F.pmod(F.xxhash64("token", "i", "j"), F.lit(groups)).cast("int"))
-    pairs = tiles.groupBy("g").applyInPandas(_tiles(num, den), "a bigint, b bigint, na int, nb int").distinct()
+    pairs = tiles.groupBy("g").applyInPandas(_tiles(num, den), "a bigint, b bigint, na int, nb int").distinct().withColumn("copies", F.lit(1).cast("bigint"))
     links.add(verify(pairs, segments, num, den))
     # smallest id of each component
     members = links.of(sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least")))
     least = members.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = members.select("sig", "comp").join(least, "comp").select(F.col("sig").alias("_sig"), "comp", "component_id")
     real = sets.withColumn("sig", F.when(F.col("n") > 0, F.col("sig")))
-    return real.join(named, F.col("sig") == F.col("_sig"), "left").select("doc_id", "n", "sig", "comp", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return real.join(named, F.col("sig") == F.col("_sig"), "left").select("doc_id", "n", "sig", "comp", F.coalesce("component_id", "doc_id").alias("component_id")), collided
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    return _rows_with_components(spark, docs, k, num, den).select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id")
+    return _rows_with_components(spark, docs, k, num, den)[0].select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id")
 
 
-def _with_signature(docs: DataFrame, k: int, name: str) -> DataFrame:
+def _with_signature(docs: DataFrame, k: int, name: str, collided: np.ndarray) -> DataFrame:
     """docs with the signature of each row's shingle set, null where it is empty."""
 
     def run(batches):
@@ -409,7 +442,8 @@ def _with_signature(docs: DataFrame, k: int, name: str) -> DataFrame:
                 texts = as_bytes(b.column(b.schema.get_field_index("text")))
                 size, sig = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
                 for lo, hi in chunks(texts):
-                    size[lo:hi], sig[lo:hi] = _signatures(hi - lo, *Words(texts[lo:hi]).shingles(k))
+                    size[lo:hi], first, other = _signatures(hi - lo, *Words(texts[lo:hi]).shingles(k))
+                    sig[lo:hi] = _settled(first, other, collided)
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sig, mask=size == 0)], [*b.schema.names, name])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
@@ -423,7 +457,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, k: int = 5, num: int = 80, de
     while any(c.startswith(name) for c in docs.columns):
         name += "_"
     at = f"{name}sig"
-    rows = cut(spark, _rows_with_components(spark, docs, k, num, den).select("doc_id", "sig", "comp", "component_id"), "jaccard-rows")
+    rows, collided = _rows_with_components(spark, docs, k, num, den)
+    rows = cut(spark, rows.select("doc_id", "sig", "comp", "component_id"), "jaccard-rows")
     odd = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m")).where("m > 1 or doc_id is null").select(F.col("doc_id").alias(name))
     gone = rows.where("doc_id <> component_id").select(F.col("doc_id").alias(name))
     by_id = lambda ids, how: docs.join(ids, F.col("doc_id") == F.col(f"`{name}`"), how)
@@ -431,7 +466,7 @@ def keep_one(spark: SparkSession, docs: DataFrame, k: int = 5, num: int = 80, de
         return by_id(gone, "left_anti")
     odd = cut(spark, odd, "jaccard-odd")
     once = by_id(gone.unionByName(odd.where(f"`{name}` is not null")), "left_anti").where("doc_id is not null")
-    many = _with_signature(docs.join(odd, F.col("doc_id").eqNullSafe(F.col(f"`{name}`")), "left_semi"), k, at)
+    many = _with_signature(docs.join(odd, F.col("doc_id").eqNullSafe(F.col(f"`{name}`")), "left_semi"), k, at, collided)
     # of rows of the component's id the least signature stands for it
     stays = rows.where("sig is not null and doc_id <=> component_id").groupBy("comp").agg(F.min("sig").alias(f"{name}s"), F.min("doc_id").alias(name)).drop("comp")
     first = many.join(stays, (F.col(f"`{at}`") == F.col(f"`{name}s`")) & F.col("doc_id").eqNullSafe(F.col(f"`{name}`")), "left_semi")

@@ -1,8 +1,10 @@
 """Whole texts to word hashes, many documents at a time, in numpy.
 
-Words are runs of bytes other than the six ASCII separators; A-Z counts as a-z. A word's hash is
-a polynomial over its bytes modulo 2**64, taken from one running sum over the whole batch, and
-mixed; hashes are the same in every process.
+Words are runs of bytes other than the six ASCII separators; A-Z counts as a-z. A word's bytes are
+read as blocks of eight; every block is mixed with a constant of its place, and the sum of the mixed
+blocks is mixed with the length. Words of one length up to eight bytes never share a hash; others
+share one with the chance of a random 64-bit function, whatever their structure. Hashes are the same
+in every process.
 """
 
 from __future__ import annotations
@@ -13,24 +15,24 @@ import numpy as np
 import pyarrow as pa
 
 _U = np.uint64
-_BASE = _U(0x9E3779B97F4A7C15)
-_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 2**64))
+_STEP = _U(0x9E3779B97F4A7C15)
+_SECOND = _U(0xC2B2AE3D27D4EB4F)
+#: Bytes kept of a block that a word fills with so many.
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)
 CHUNK = 1 << 20
 
 
 def _tables():
-    x = np.arange(1, 257, dtype=_U)
-    values = mix(x * _U(0xD6E8FEB86659FD93)) | _U(1)
-    lower = np.arange(256)
+    lower = np.arange(256, dtype=np.uint8)
     lower[65:91] += 32
-    shape = np.arange(256)
+    shape = np.arange(256, dtype=np.uint8)
     shape[48:58] = 48
     shape[65:91] = 65
     shape[97:123] = 97
     shape[128:] = 97
     sep = np.zeros(256, bool)
     sep[[9, 10, 11, 12, 13, 32]] = True
-    return values[lower], values[shape], sep
+    return lower, shape, sep
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,19 +42,6 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 LETTERS, SHAPES, SEPARATOR = _tables()
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
-        size = max(n, CHUNK)
-        for name, r in (("up", _BASE), ("down", _INVERSE)):
-            a = np.full(size, r, _U)
-            a[0] = 1
-            _powers[name] = np.cumprod(a)
-        if size > 8 * CHUNK:  # of one very long text: not kept
-            return _powers.pop("up"), _powers.pop("down")
-    return _powers["up"], _powers["down"]
 
 
 class Words:
@@ -70,21 +59,32 @@ class Words:
         self.start, self.end = edge[0::2], edge[1::2]
         self.doc = np.searchsorted(self.doc_start, self.start, "right") - 1
         self.count = np.bincount(self.doc, minlength=self.n)
-        self._sums: dict[int, np.ndarray] = {}
+        self._blocks: dict[int, np.ndarray] = {}
 
     def hashes(self, start=None, end=None, values: np.ndarray = LETTERS) -> np.ndarray:
-        """Hashes of the byte spans [start, end), by default the words."""
+        """Hashes of the byte spans [start, end), none empty, by default the words."""
         start, end = (self.start, self.end) if start is None else (start, end)
         if not len(start):
             return np.empty(0, _U)
-        up, down = _power(len(self.bytes))
-        if id(values) not in self._sums:
-            s = np.empty(len(self.bytes) + 1, _U)
-            s[0] = 0
-            np.cumsum(values[self.bytes] * up[: len(self.bytes)], out=s[1:])
-            self._sums[id(values)] = s
-        s = self._sums[id(values)]
-        return mix((s[end] - s[start]) * down[start])
+        if id(values) not in self._blocks:
+            raw = np.concatenate([values[self.bytes], np.zeros(8, np.uint8)])
+            self._blocks[id(values)] = np.lib.stride_tricks.as_strided(raw.view(), (len(self.bytes), 8), (1, 1))
+        blocks = self._blocks[id(values)]
+        size = end - start
+        out = mix(self._block(blocks, start, np.minimum(size, 8)) ^ _SECOND)
+        long = np.flatnonzero(size > 8)
+        if len(long):
+            n = (size[long] - 1) // 8  # blocks after the first
+            first = np.cumsum(n) - n
+            place = np.arange(n.sum()) - np.repeat(first, n) + 1
+            at = np.repeat(start[long], n) + 8 * place
+            rest = self._block(blocks, at, np.minimum(np.repeat(end[long], n) - at, 8))
+            out[long] += np.add.reduceat(mix(rest ^ mix(place.astype(_U) * _STEP)), first)
+        return mix(out + size.astype(_U) * _STEP)
+
+    @staticmethod
+    def _block(blocks: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return blocks[at].view("<u8")[:, 0].astype(_U, copy=False) & _MASK[size]
 
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct hashes of k words in a row, per document, sorted by document and hash: (doc,
@@ -99,7 +99,7 @@ class Words:
         for j in range(k):
             use = size > j
             take = at[use] + j
-            out[use] = mix(out[use] * _BASE + h[take] + _U(j + 1))
+            out[use] = mix(out[use] * _STEP + h[take] + _U(j + 1))
         order = np.lexsort((out, doc))
         doc, out = doc[order], out[order]
         keep = np.ones(len(doc), bool)
