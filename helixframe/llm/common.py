@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +48,11 @@ def uniform(*parts: Column) -> Column:
 def fold(doc_id: Column, buckets: int) -> Column:
     """crc32 of the decimal text of an id, modulo ``buckets`` (null id: of empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % buckets
+
+
+def slices(batches, rows: int = 512):
+    """Arrow batches in pieces of ``rows``, so that few texts at a time are Python objects."""
+    pa.default_memory_pool().release_unused()  # what an operator before left in this worker
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import slices
 from .words import SHAPES, Words, mix
 
 PREFIX = 5
@@ -33,16 +34,20 @@ def shape_features(w: Words, bits: int) -> np.ndarray:
 
 
 def least_hash_ids(ids: DataFrame, n: int) -> list[int]:
-    """Up to n ids of least hash: a bounded sample that does not depend on order or layout."""
-    return [r[0] for r in ids.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).collect()]
+    """Up to n ids of least hash: a bounded sample that does not depend on order or layout. Ids that
+    cannot be among the least are left out before the shuffle."""
+    ids = ids.select("doc_id", F.xxhash64("doc_id").alias("h"))
+    many = ids.agg(F.approx_count_distinct("h")).first()[0]
+    limit = min(2**63 - 1, -(2**63) + 2**64 * (2 * n + 64) // max(1, many))
+    return [r[0] for r in ids.where(F.col("h") <= limit).distinct().orderBy("h", "doc_id").limit(n).collect()]
 
 
 def features_of(spark: SparkSession, docs: DataFrame, ids: list[int], bits: int, kind) -> dict[int, np.ndarray]:
     """Feature numbers with counts of the sampled documents, made on the executors: all of
-    a text, 2**bits at most."""
+    a text, 2**bits at most. Of rows that share an id the least list of features counts."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for t in b.column(1).to_pylist():
                 f, n = np.unique(kind(Words([(t or "").encode()]), bits), return_counts=True)
@@ -50,8 +55,9 @@ def features_of(spark: SparkSession, docs: DataFrame, ids: list[int], bits: int,
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.binary())], ["doc_id", "f"])
 
     wanted = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
-    got = docs.select(F.col("doc_id").cast("bigint"), "text").join(F.broadcast(wanted), "doc_id").mapInArrow(run, "doc_id bigint, f binary").collect()
-    return {r[0]: np.frombuffer(r[1], np.int32).reshape(2, -1) for r in sorted(got, key=lambda r: (r[0], bytes(r[1])))}
+    got = docs.select(F.col("doc_id").cast("bigint"), "text").join(F.broadcast(wanted), "doc_id").mapInArrow(run, "doc_id bigint, f binary")
+    got = got.groupBy("doc_id").agg(F.min("f").alias("f")).collect()
+    return {r[0]: np.frombuffer(r[1], np.int32).reshape(2, -1) for r in sorted(got)}
 
 
 class Rows:

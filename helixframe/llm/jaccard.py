@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD, cut, table
+from .common import WORD, cut, slices, table
 from .components import components
 from .words import Words, as_bytes, chunks, mix
 
@@ -92,7 +92,7 @@ def _scan(k: int):
 
     def run(batches):
         heavy: dict[int, int] = {}
-        for b in batches:
+        for b in slices(batches):
             texts = as_bytes(b.column(1))
             size, sig, other = (np.zeros(len(texts), np.int64) for _ in range(3))
             for lo, hi in chunks(texts):
@@ -150,7 +150,7 @@ def _deal(k: int, heavy: np.ndarray, fragments: int, collided: np.ndarray):
 
     def run(batches):
         seen: set[int] = set()
-        for b in batches:
+        for b in slices(batches):
             texts = as_bytes(b.column(1))
             for lo, hi in chunks(texts):
                 out = _Blocks()

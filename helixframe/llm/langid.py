@@ -2,15 +2,18 @@
 
 Filters of widths 2, 3 and 4 bytes slide over one-hot bytes, are max-pooled over a window of
 ``WINDOW`` bytes, rectified, and a softmax layer gives language probabilities. Training uses a
-bounded sample (``PER_LANG`` documents per language, ``WINDOWS`` windows each) of labelled rows
-outside the held-out fold. A whole text is cut into consecutive windows that overlap by the
-filter width; its probabilities are the mean over all its windows.
+bounded sample of labelled rows outside the held-out fold: of each language the ``PER_LANG`` distinct
+texts of least hash (fewer of each where ``SAMPLE`` texts would not suffice for all languages),
+``WINDOWS`` windows each. Every language that occurs is learned. A whole text is cut into adjoining
+windows, where the last filters of a window read on into the next; its probabilities are the mean
+over all its windows.
 
 Application is one scan without a shuffle: filter sums of two bytes are looked up in tables, so
 that a byte costs two look-ups for all filters.
 
 Edge cases: null text or text without a letter is ``und`` with score 0; so is everything when no
-row can be learned from; repeated rows give repeated results; an empty table gives no rows.
+row can be learned from; repeated rows give repeated results and count once in training, whatever their
+ids; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,45 +23,47 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fold, table
+from .common import fold, slices, table
 
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 WINDOW = 512
 PER_LANG = 300
+SAMPLE = 30_000
 WINDOWS = 4
 STEPS = 400
-MAX_LANGS = 500
+STEPS_PER_LANG = 20
 MARGIN = 4
 
 
-def sample(spark: SparkSession, docs: DataFrame, per_lang: int = PER_LANG) -> tuple[np.ndarray, list[str]]:
-    """Windows (n x WINDOW bytes, zero-padded) and their languages, from a bounded sample: the
-    ``per_lang`` documents of least hash of each of the ``MAX_LANGS`` most frequent languages."""
-    rows = docs.where((fold(F.col("doc_id"), 4) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    # hashes above these are not among the least (distinct ids: but by a chance below 1e-100) and are not shuffled
-    limits = [(r[0], min(2**63 - 1, -(2**63) + 2**64 * MARGIN * per_lang // r[1])) for r in langs]
+def sample(spark: SparkSession, docs: DataFrame, per_lang: int = PER_LANG, total: int = SAMPLE) -> tuple[np.ndarray, list[str]]:
+    """Windows (n x WINDOW bytes, zero-padded) and their languages, from a bounded sample. Texts are
+    ranked by a hash of their own; equal texts of a language count once."""
+    rows = docs.where((fold(F.col("doc_id"), 4) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("text").alias("h"))
+    langs = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy("lang").collect()  # a row per language
+    if not langs:
+        return np.empty((0, WINDOW), np.uint8), []
+    per_lang = max(1, min(per_lang, total // len(langs)))
+    # hashes above these are not among the least, by a wide margin against the error of the count
+    limits = [(r[0], min(2**63 - 1, -(2**63) + 2**64 * (MARGIN * per_lang + 64) // max(1, r[1]))) for r in langs]
     limits = spark.createDataFrame(limits, "_lang string, _limit bigint")
-    ids = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).join(F.broadcast(limits), (F.col("lang") == F.col("_lang")) & (F.col("h") <= F.col("_limit")))
-    ids = ids.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("n") <= per_lang)
-    wanted = spark.createDataFrame([(r[0],) for r in ids.select("doc_id").distinct().collect()], "doc_id bigint")
 
     def windows(batches):
         for b in batches:
-            out, lang = [], []
-            for doc, t, name in zip(*(b.column(i).to_pylist() for i in range(3))):
+            out = []
+            for t, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 raw = t.encode()
-                rng = np.random.default_rng((doc or 0) % 2**32)
-                for at in rng.integers(0, max(1, len(raw) - WINDOW // 2), WINDOWS):
-                    out.append(raw[at : at + WINDOW].ljust(WINDOW, b"\0"))
-                    lang.append(name)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(lang, pa.string())], ["window", "lang"])
+                at = np.random.default_rng(h % 2**63).integers(0, max(1, len(raw) - WINDOW // 2), WINDOWS)
+                out.append(b"".join(raw[a : a + WINDOW].ljust(WINDOW, b"\0") for a in at))
+            yield pa.RecordBatch.from_arrays([b.column(2), b.column(1), pa.array(out, pa.binary())], ["lang", "h", "windows"])
 
-    picked = rows.join(F.broadcast(wanted), "doc_id").select("doc_id", "text", "lang").mapInArrow(windows, "window binary, lang string")
-    got = sorted((bytes(r[0]), r[1]) for r in picked.collect())
-    x = np.frombuffer(b"".join(w for w, _ in got), np.uint8).reshape(-1, WINDOW)
-    return x, [name for _, name in got]
+    few = rows.join(F.broadcast(limits), (F.col("lang") == F.col("_lang")) & (F.col("h") <= F.col("_limit")))
+    few = few.select("text", "h", "lang").mapInArrow(windows, "lang string, h bigint, windows binary")
+    few = few.groupBy("lang", "h").agg(F.min("windows").alias("windows"))
+    few = few.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= per_lang)
+    got = sorted((r[0], bytes(r[1])) for r in few.select("lang", "windows").collect())
+    x = np.frombuffer(b"".join(w for _, w in got), np.uint8).reshape(-1, WINDOW)
+    return x, [name for name, _ in got for _ in range(WINDOWS)]
 
 
 class ByteCNN:
@@ -171,7 +176,7 @@ def train(spark: SparkSession, docs: DataFrame) -> ByteCNN | None:
         return None
     langs = sorted(set(names))
     place = {n: i for i, n in enumerate(langs)}
-    return ByteCNN(langs).fit(x, np.array([place[n] for n in names]))
+    return ByteCNN(langs).fit(x, np.array([place[n] for n in names]), max(STEPS, STEPS_PER_LANG * len(langs)))
 
 
 def identify(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
@@ -179,7 +184,7 @@ def identify(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
 
     def run(batches):
         tabs = model.tables() if model else None
-        for b in batches:
+        for b in slices(batches):
             texts = [t or "" for t in b.column(1).to_pylist()]
             known = [model is not None and any(map(str.isalpha, t)) for t in texts]
             names, score = ["und"] * len(texts), np.zeros(len(texts))

@@ -5,7 +5,8 @@ all grades share and ordered thresholds ``t_1 < t_2 < ...`` (the first free, the
 positive steps). A document's expected grade is the sum of its tail probabilities
 ``P(grade > k)``; selection is by the tail probability of ``KEEP_GRADE``.
 
-Grades of the query: 0 for quality 0, 1 for quality 1 with toxic 1, 2 for quality 1 alone.
+Grades of the query: 0 for quality 0, 1 for quality 1 with toxic 1, 2 for quality 1 otherwise (toxic 0
+or unknown).
 Training: a bounded sample (``RATED``) of labelled rows outside the held-out fold. Application:
 one scan without a shuffle; x is the mean over all words of the whole text.
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, table
+from .common import fold, slices, table
 from .features import Adam, Rows, features_of, least_hash_ids, shape_features, sigmoid
 from .words import Words, as_bytes, chunks, sums
 
@@ -92,7 +93,7 @@ def rate(docs: DataFrame, model: Ordinal | None, keep_grade: int = KEEP_GRADE, k
     """doc_id, expected_grade, tail_probability, kept of every document."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = as_bytes(b.column(1))
             expected, tail = np.zeros(len(texts)), np.zeros(len(texts))
             if model:
@@ -109,5 +110,5 @@ def rate(docs: DataFrame, model: Ordinal | None, keep_grade: int = KEEP_GRADE, k
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    ratings = labels.select("doc_id", (F.col("quality") * (2 - F.col("toxic"))).cast("int").alias("grade"))
+    ratings = labels.select("doc_id", (F.col("quality") * (2 - F.coalesce("toxic", F.lit(0)))).cast("int").alias("grade"))
     return rate(docs, train(spark, docs, ratings)).select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "expected_grade", "tail_probability", "kept")

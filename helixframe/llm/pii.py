@@ -4,9 +4,11 @@ Base kinds (email, ip, card, phone) follow fixed patterns, leftmost and without
 a kind; a match that fails its check (parts over 255, digit counts, Luhn) is dropped without a
 second try. Further kinds: iban (mod-97 over the length of its country; where the country is not in
 ``IBAN_LENGTH``, over the longest run of whole words that holds), key (access keys and tokens of
-well-known form) and ssn (checked number groups). A span's score starts at its kind's value, rises where a word of
-its context stands within ``NEAR`` characters before it and falls where a denying word does; base
-spans stay whatever their score, spans of further kinds need ``LEAST``.
+well-known form), ssn (checked number groups) and secret (runs of 20 to 200 letters and digits, with
+both, that only context makes one). A span's score starts at its kind's value, rises where a word of
+its context stands within ``NEAR`` characters before or after it and falls where a denying word does; base
+spans stay whatever their score, spans of further kinds need ``LEAST``: a key or an IBAN in a sample, or a
+number group like a social security number without its context, is none.
 
 All offsets are code points. Matching is linear in the text: runs are entered once, at their
 first character, so that very long runs of digits or letters cost no more than others.
@@ -17,27 +19,26 @@ an empty table gives an empty result; other columns are neither read nor changed
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import slices, table
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "iban", "key", "ssn")
+KINDS = (*BASE, "iban", "key", "ssn", "secret")
 NEAR = 40
-ROWS = 512
 LEAST = 0.5
 #: Score of a confirmed span without context.
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.9, "phone": 0.7, "iban": 0.9, "key": 0.9, "ssn": 0.3}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.9, "phone": 0.7, "iban": 0.7, "key": 0.7, "ssn": 0.3, "secret": 0.3}
 #: Words that make a kind likelier, and words that make any kind unlikelier.
 CONTEXT = {
     "email": ("mail", "contact", "write"), "ip": ("ip", "address", "server", "host"), "card": ("card", "visa", "credit", "pay"),
     "phone": ("phone", "tel", "call", "mobile", "fax"), "iban": ("iban", "account", "bank"),
     "key": ("key", "token", "secret", "aws"), "ssn": ("ssn", "social", "security"),
+    "secret": ("key", "apikey", "token", "secret", "password", "passwd", "pwd", "bearer", "credential", "auth"),
 }
 DENY = ("example", "version", "isbn", "sample")
 #: Characters of an IBAN by country (ISO 13616).
@@ -58,7 +59,10 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?: ?[A-Z0-9]){11,30}))
 _WORD_END = re.compile(r"[A-Z0-9](?![A-Za-z0-9])")
 _KEY = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|xox[abpr]-[A-Za-z0-9-]{10,72})(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9_+/=.-])[A-Za-z0-9_+/-]{20,200}(?![A-Za-z0-9_+/-])")
+_SECRET_WORDS = re.compile("|".join(CONTEXT["secret"]))
 _DIGIT = re.compile("[0-9]")
+_LETTER = re.compile("[A-Za-z]")
 
 
 def luhn(digits: str) -> bool:
@@ -131,22 +135,25 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return found
 
 
-def score(kind: str, text: str, start: int) -> float:
-    before = text[max(0, start - NEAR) : start].lower()
-    words = set(re.findall(r"[a-z]+", before))
+def score(kind: str, text: str, start: int, end: int) -> float:
+    around = f"{text[max(0, start - NEAR) : start]} {text[end : end + NEAR]}".lower()
+    words = set(re.findall(r"[a-z]+", around))
     s = PRIOR[kind] + 0.3 * any(w in words for w in CONTEXT[kind]) - 0.3 * any(w in words for w in DENY)
-    return min(1.0, max(0.0, s))
+    return round(min(1.0, max(0.0, s)), 2)
 
 
 def all_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     """Spans of all kinds, in order of KINDS and start; base spans as they are."""
     found = base_spans(text)
-    more = {"iban": [], "key": [], "ssn": []}
+    more: dict[str, list[tuple[int, int]]] = {"iban": [], "key": [], "ssn": [], "secret": []}
     if _DIGIT.search(text):
         more["iban"] = ibans(text)
         more["ssn"] = [m.span() for m in _SSN.finditer(text) if m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000"]
     more["key"] = [m.span() for m in _KEY.finditer(text)] if ("AKIA" in text or "_" in text or "-" in text) else []
-    return found | {k: [s for s in v if score(k, text, s[0]) >= LEAST] for k, v in more.items()}
+    if _SECRET_WORDS.search(text.lower()):
+        known = set(more["key"])
+        more["secret"] = [m.span() for m in _SECRET.finditer(text) if _DIGIT.search(m[0]) and _LETTER.search(m[0]) and m.span() not in known]
+    return found | {k: [s for s in v if score(k, text, *s) >= LEAST] for k, v in more.items()}
 
 
 def redact(text: str) -> str:
@@ -160,18 +167,6 @@ def redact(text: str) -> str:
     return "".join([*out, text[last:]])
 
 
-def _digest(found: dict[str, list[tuple[int, int]]], kinds) -> str:
-    return ",".join(f"{k}:{a}:{b}" for k in kinds for a, b in found[k])
-
-
-def slices(batches):
-    """Batches in pieces of ``ROWS`` rows, so that few texts at a time are Python strings."""
-    pa.default_memory_pool().release_unused()  # what an operator before left in this worker
-    for b in batches:
-        for at in range(0, b.num_rows, ROWS):
-            yield b.slice(at, ROWS)
-
-
 def find_pii(docs: DataFrame) -> DataFrame:
     """doc_id, spans (array of kind, start, end, score) for every document."""
     schema = "doc_id bigint, spans array<struct<kind:string,start:int,end:int,score:double>>"
@@ -181,7 +176,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
             rows = []
             for t in b.column(1).to_pylist():
                 t = t or ""
-                rows.append([{"kind": k, "start": x, "end": y, "score": score(k, t, x)} for k, v in all_spans(t).items() for x, y in v])
+                rows.append([{"kind": k, "start": x, "end": y, "score": score(k, t, x, y)} for k, v in all_spans(t).items() for x, y in v])
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, kind)], ["doc_id", "spans"])
 
@@ -208,8 +203,9 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    scores = F.array_join(F.transform("spans", lambda s: F.format_string("%.2f", s["score"])), ",")
     return found.select(
         "doc_id",
         *[count(k) for k in BASE],
-        F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"),
+        F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"), scores.alias("scores"),
     )

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, table
+from .common import fold, slices, table
 from .features import Adam, Rows, features_of, least_hash_ids, sigmoid, word_features
 from .words import Words, as_bytes, chunks
 
@@ -104,7 +104,7 @@ def score(docs: DataFrame, model: PUModel | None) -> DataFrame:
     """doc_id, score of every document."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = as_bytes(b.column(1))
             s = model.score(texts) if model else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s.astype(np.float64))], ["doc_id", "score"])
