@@ -59,9 +59,11 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?: ?[A-Z0-9]){11,30}))
 _WORD_END = re.compile(r"[A-Z0-9](?![A-Za-z0-9])")
 _KEY = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|xox[abpr]-[A-Za-z0-9-]{10,72})(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
-_SECRET = re.compile(r"(?<![A-Za-z0-9_+/=.-])[A-Za-z0-9_+/-]{20,200}(?![A-Za-z0-9_+/-])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9_+/.-])[A-Za-z0-9_+/-]{20,200}(?![A-Za-z0-9_+/-])")
 _SECRET_WORDS = re.compile("|".join(CONTEXT["secret"]))
 _DIGIT = re.compile("[0-9]")
+#: A word of a sentence, no part of an address or a host name.
+_CONTEXT_WORD = re.compile(r"(?<![a-z0-9@.-])[a-z]+(?![a-z0-9@-]|\.[a-z0-9])")
 _LETTER = re.compile("[A-Za-z]")
 
 
@@ -137,7 +139,7 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 def score(kind: str, text: str, start: int, end: int) -> float:
     around = f"{text[max(0, start - NEAR) : start]} {text[end : end + NEAR]}".lower()
-    words = set(re.findall(r"[a-z]+", around))
+    words = set(_CONTEXT_WORD.findall(around))
     s = PRIOR[kind] + 0.3 * any(w in words for w in CONTEXT[kind]) - 0.3 * any(w in words for w in DENY)
     return round(min(1.0, max(0.0, s)), 2)
 
