@@ -1,20 +1,21 @@
 """Exact top-k search by tiled matrix products.
 
 Queries and candidates are cut into blocks of bounded size. A tile is one pair of a query
-block and a candidate group; it is one matrix product with partial selection of the k best per
-query. Partial lists are merged in a tree: first within runs of ``FAN`` groups, then finally.
+group and a candidate group; it is a series of matrix products, with partial selection of the k best
+per query. Partial lists are merged in a tree: first within runs of ``FAN`` groups, then finally.
 
-Scale: the tile grid is two-dimensional. Candidate groups number
-``candidates / GROUP_ROWS`` and query groups ``queries / QUERY_ROWS``; each side is
-replicated only along the other axis, as packed blocks, and a task holds one tile's two sides.
+Scale: the tile grid is two-dimensional. Groups are bounded by bytes: a query group holds ``QUERY_BYTES``
+of vectors (131,072 of 64 components), a candidate group ``GROUP_BYTES``. Candidates are copied once per
+query group, so queries are gathered in as few groups as memory allows, and candidate blocks stream past them.
 Work is (queries x rows), as the search asks for; a tile emits k rows a query at most, in
 packed lists, and a merge task never sees more than ``FAN`` lists of one query.
 
 Edge cases: vectors that are null or hold a null or non-finite component take no part; vectors
 of unequal length have no inner product and never meet; fewer than k candidates give what there
 is; rows with one id are one vector each, and a query's own id is never its candidate; a null id
-takes no part; an empty table gives an empty result. Sums that 53 bits cannot hold exactly are
-computed in whole-number arithmetic and held within the range of long.
+takes no part; an empty table gives an empty result. Components beyond 2**62 / 64 in size are held there;
+sums that 53 bits cannot hold exactly are computed in whole-number arithmetic and held within the range
+of long.
 """
 
 from __future__ import annotations
@@ -28,14 +29,15 @@ from pyspark.sql import functions as F
 
 from .common import cut, table
 
-GROUP_ROWS = 8192
-QUERY_ROWS = 1024
+GROUP_BYTES = 1 << 22
+QUERY_BYTES = 1 << 24
+STEP_CELLS = 1 << 21
 FAN = 16
 BLOCK = "side int, grp int, dim int, ids binary, vectors binary"
 
 
 def _pack(groups_c: int, groups_q: int, every: int):
-    """Rows to blocks of int64 vectors, dealt to groups by a hash of the id."""
+    """Rows to blocks of int64 vectors, dealt to groups by hash."""
 
     def run(batches):
         for pdf in batches:
@@ -62,7 +64,7 @@ def _pack(groups_c: int, groups_q: int, every: int):
 def _unpack(ids, vectors, dim: int):
     vs = [np.frombuffer(b, np.int16 if b[0] == 2 else np.int64, offset=1).reshape(-1, dim) if dim else np.zeros((len(i) // 8, 0), np.int64) for b, i in zip(vectors, ids)]
     ids = np.concatenate([np.frombuffer(b, np.int64) for b in ids])
-    return ids, np.concatenate([v.astype(np.int64) for v in vs])
+    return ids, np.concatenate(vs)  # 16 bits as long as all blocks have 16
 
 
 def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -75,37 +77,43 @@ def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int):
-    """Columns of the k best per row, ties to the smaller id; ids ascend. Own ids count as out."""
-    out = []
-    for row, me in zip(scores, own):
-        use = np.flatnonzero(ids != me)
-        s = row[use]
-        if len(s) > k:
-            least = np.partition(s, len(s) - k)[len(s) - k]
-            over, even = np.flatnonzero(s > least), np.flatnonzero(s == least)
-            use = use[np.concatenate([over, even[: k - len(over)]])]
-        out.append(use[np.lexsort((ids[use], -row[use]))])
-    return out
+def _best(scores: np.ndarray, out: np.ndarray, k: int) -> list[np.ndarray]:
+    """Columns of the k best of each row, ties to the lesser column; columns where ``out`` are none."""
+    n = scores.shape[1]
+    top = int(np.abs(scores).max(initial=0))
+    if top < 2**62 // max(1, n):
+        # score and column in one number, so that one selection per row settles ties too
+        key = scores * n + (n - 1 - np.arange(n))
+        key[out] = -(2**63) + 1
+        m = min(k, n)
+        part = np.argpartition(key, n - m, axis=1)[:, n - m :] if m < n else np.broadcast_to(np.arange(n), key.shape)
+        got = np.take_along_axis(key, part, 1)
+        part = np.take_along_axis(part, np.argsort(-got, axis=1, kind="stable"), 1)
+        used = (~np.take_along_axis(out, part, 1)).sum(1)
+        return [p[:u] for p, u in zip(part, used)]
+    cols = [np.flatnonzero(~o) for o in out]
+    return [c[np.lexsort((c, -row[c].astype(object)))][:k] if len(c) else c for row, c in zip(scores, cols)]
 
 
 def _tile(k: int):
     def run(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        out: dict = {"query_id": [], "part": [], "scores": [], "ids": []}
+        found: dict = {"query_id": [], "part": [], "scores": [], "ids": []}
         if len(q) and len(c):
             dim = int(key[2])
             qi, qv = _unpack(q["ids"], q["vectors"], dim)
             ci, cv = _unpack(c["c_ids"], c["c_vectors"], dim)
             order = np.argsort(ci, kind="stable")
-            ci, cv = ci[order], cv[order]
-            for a in range(0, len(qi), 256):
-                scores = _scores(qv[a : a + 256], cv)
-                for row, me, use in zip(scores, qi[a : a + 256], _best(scores, ci, qi[a : a + 256], k)):
-                    out["query_id"].append(int(me))
-                    out["part"].append(int(key[1]))
-                    out["scores"].append(row[use])
-                    out["ids"].append(ci[use])
-        return pd.DataFrame(out)
+            ci, cv = ci[order], cv[order].astype(np.int64)
+            step = max(1, STEP_CELLS // len(ci))
+            for a in range(0, len(qi), step):
+                scores = _scores(qv[a : a + step].astype(np.int64), cv)
+                out = qi[a : a + step, None] == ci[None]
+                for row, me, use in zip(scores, qi[a : a + step], _best(scores, out, k)):
+                    found["query_id"].append(int(me))
+                    found["part"].append(int(key[1]))
+                    found["scores"].append(row[use])
+                    found["ids"].append(ci[use])
+        return pd.DataFrame(found)
 
     return run
 
@@ -115,9 +123,11 @@ def top_k(spark: SparkSession, vectors: DataFrame, k: int = 20, every: int = 20)
     v = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v")).where(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     )
-    n = v.count()
-    groups_c, groups_q = max(1, math.ceil(n / GROUP_ROWS)), max(1, math.ceil(n / every / QUERY_ROWS))
-    hashed = v.withColumn("h", F.pmod(F.xxhash64("vec_id", "v"), F.lit(2**31)))
+    n, dim = v.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    width = 2 * max(1, dim or 0)
+    groups_c, groups_q = max(1, math.ceil(n * width / GROUP_BYTES)), max(1, math.ceil(n / every * width / QUERY_BYTES))
+    # dealt by row, so that no id gathers in a group
+    hashed = v.withColumn("h", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(2**31)))
     blocks = cut(spark, hashed.mapInPandas(_pack(groups_c, groups_q, every), BLOCK), "topk-blocks")
     q = blocks.where("side = 1").withColumn("qg", F.col("grp")).withColumn("cg", F.explode(F.sequence(F.lit(0), F.lit(groups_c - 1))))
     c = blocks.where("side = 0").withColumn("cg", F.col("grp")).withColumn("qg", F.explode(F.sequence(F.lit(0), F.lit(groups_q - 1))))
