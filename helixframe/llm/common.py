@@ -2,43 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut, release, shared_root, table  # noqa: F401  for the operators
+
 #: Words are maximal runs of anything but space, tab, newline, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
-_local_root: str | None = None
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; only where that is unset
-    (single-machine tests) a temporary folder of this process."""
-    global _local_root
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="helixframe-")
-    return f"file://{_local_root}"
-
-
-def cut(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here, a lost
-    executor costs a re-read, and nothing above is computed twice."""
-    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
 
 def uniform(*parts: Column) -> Column:
     """A reproducible uniform number in [0, 1): the first 52 bits of an MD5."""
