@@ -2,8 +2,7 @@
 
 Every step is a minimum per node (pre-aggregated) and an equi-join; the number of rounds grows
 with the logarithm of the longest path. Edges are written to the shared folder after each round.
-A node's edges are spread over ``SALTS`` keys, so that a node with a third of all edges is no task
-of its own.
+Nodes of very many edges are joined apart, see ``join_spread``.
 """
 
 from __future__ import annotations
@@ -13,17 +12,32 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
+HOT = 1024
 
-SALTS = 256
 
+def join_spread(spark: SparkSession, rows: DataFrame, key: str, values: DataFrame, name: str) -> DataFrame:
+    """rows with the columns of ``values``, which has one row per ``_key`` and the number ``m`` of rows of it.
 
-def with_least(edges: DataFrame) -> DataFrame:
-    """edges (u, v) with ``m``, the least v of each u."""
-    salted = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-    part = salted.groupBy("u", "salt").agg(F.min("v").alias("m"))
-    whole = part.groupBy("u").agg(F.min("m").alias("m")).select(F.col("u").alias("_w"), "m")
-    spread = part.select("u", "salt").join(whole, F.col("u") == F.col("_w")).select(F.col("u").alias("_u"), F.col("salt").alias("_s"), "m")
-    return salted.join(spread, (F.col("u") == F.col("_u")) & (F.col("salt") == F.col("_s"))).select("u", "v", "m")
+    ``values`` is written, so that its size is known where the join is planned. Keys of more than ``HOT``
+    rows do not meet in a task: there are at most rows / HOT of them, their own small table is sent to the
+    rows where its size allows, and split as a skewed join where it does not; only the other keys are
+    shuffled by key.
+    """
+    values = cut(spark, values, name)
+    hot = values.where(F.col("m") > HOT)
+    light = rows.join(values.where(F.col("m") <= HOT), F.col(key) == F.col("_key")).drop("_key", "m")
+    if hot.isEmpty():
+        return light
+    hot = cut(spark, hot, f"{name}-hot")
+    own = rows.join(hot.select(F.col("_key").alias("_hot")), F.col(key) == F.col("_hot"), "left_anti")
+    light = own.join(values.where(F.col("m") <= HOT), F.col(key) == F.col("_key")).drop("_key", "m")
+    return light.unionByName(rows.join(hot, F.col(key) == F.col("_key")).drop("_key", "m"))
+
+
+def with_least(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """edges (u, v) with ``least``, the least v of each u."""
+    least = edges.groupBy(F.col("u").alias("_key")).agg(F.min("v").alias("least"), F.count(F.lit(1)).alias("m"))
+    return join_spread(spark, edges, "u", least, "cc-least")
 
 
 def _summary(edges: DataFrame):
@@ -36,9 +50,9 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     before = _summary(e)
     while before[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        e = with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-        small = with_least(e)
-        e = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
+        e = with_least(spark, both).where("v > u").select(F.col("v").alias("u"), F.least("u", "least").alias("v")).distinct()
+        small = with_least(spark, cut(spark, e, "cc-large"))
+        e = small.where("v <> least").select(F.col("v").alias("u"), F.col("least").alias("v")).unionByName(small.select("u", F.col("least").alias("v")))
         e = cut(spark, e.distinct(), "cc")
         now = _summary(e)
         if now == before:

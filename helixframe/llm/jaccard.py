@@ -25,8 +25,9 @@ How it runs:
    different components is lost and nothing is capped.
 5. A pair's segments meet fragment by fragment; partial overlaps are summed per pair.
 
-Hot shingles and hot pivots: the members of a shingle are spread over ``SALTS`` keys, each of which gets
-a copy of the pivot; a pivot's segments are copied once per ``COPY_PAIRS`` pairs it is compared in.
+Hot shingles and hot pivots: shingles of very many members are joined with their pivots apart from the
+others, so that their members need not meet in a task; a pivot's segments are copied once per
+``COPY_PAIRS`` pairs it is compared in.
 
 Shingle hashes are 64-bit: two different shingles count as one with a chance of 2**-64. Sets are told
 apart by 128 bits.
@@ -48,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import WORD, cut, slices, table
-from .components import components
+from .components import components, join_spread
 from .words import Words, as_bytes, chunks, mix
 
 HEAVY = 1 << 16
@@ -59,7 +60,6 @@ CELLS = 64
 STARS = 3
 TILE = 512
 SIGNED_ROWS = 512
-SALTS = 256
 COPY_PAIRS = 1024
 _U = np.uint64
 _HEAVY_DF = np.int64(1 << 40)
@@ -292,17 +292,15 @@ def verify(pairs: DataFrame, segments: DataFrame, num: int, den: int) -> DataFra
     return total.where(F.col("overlap") * (num + den) >= num * (F.col("na") + F.col("nb"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _star(active: DataFrame, star: int) -> DataFrame:
+def _star(spark: SparkSession, active: DataFrame, star: int) -> DataFrame:
     """Members of buckets that hold different components, each beside its bucket's pivot ``p`` and that
-    pivot's number of copies. A bucket's members are spread over ``SALTS`` keys."""
-    active = active.withColumn("salt", F.pmod(F.xxhash64("sig", F.lit("salt")), F.lit(SALTS)).cast("int"))
+    pivot's number of copies."""
     first = F.struct((F.col("single") if star == 0 else F.xxhash64("sig", F.lit(star))).alias("by"), "sig", "n", "pos", "comp")
-    part = active.groupBy("token", "salt").agg(F.min(first).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
-    pivots = part.groupBy("token").agg(F.min("p").alias("p"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("m").alias("m")).where("lo <> hi")
+    pivots = active.groupBy(F.col("token").alias("_key")).agg(F.min(first).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
+    pivots = cut(spark, pivots.where("lo <> hi").select("_key", "p", "m"), f"jaccard-pivots{star}")
     hubs = pivots.groupBy(F.col("p.sig").alias("hub")).agg(F.ceil(F.sum("m") / COPY_PAIRS).alias("copies"))
-    pivots = pivots.join(hubs, F.col("p.sig") == F.col("hub")).select(F.col("token").alias("_t"), "p", "copies")
-    spread = part.select("token", "salt").join(pivots, F.col("token") == F.col("_t")).select(F.col("token").alias("_t"), F.col("salt").alias("_s"), "p", "copies")
-    return active.join(spread, (F.col("token") == F.col("_t")) & (F.col("salt") == F.col("_s"))).where("sig <> p.sig").drop("_t", "_s", "salt")
+    pivots = pivots.join(hubs, F.col("p.sig") == F.col("hub")).drop("hub")
+    return join_spread(spark, active, "token", pivots, f"jaccard-spread{star}").where("sig <> p.sig")
 
 
 def _tiles(num: int, den: int):
@@ -392,10 +390,11 @@ def _rows_with_components(spark: SparkSession, docs: DataFrame, k: int, num: int
     entries = classes.select("sig", "n", "single", "cells", F.posexplode("prefix").alias("place", "token")).withColumn("pos", F.col("place") + F.col("single")).drop("place")
     active = entries.drop("cells")
     for star in range(STARS):
-        met = cut(spark, _star(links.of(active.drop("comp")), star), f"jaccard-star{star}")
+        met = cut(spark, _star(spark, links.of(active.drop("comp")), star), f"jaccard-star{star}")
         pairs = met.where((F.col("comp") != F.col("p.comp")) & _may_link(F.col("n"), F.col("pos"), F.col("p.n"), F.col("p.pos"), num, den))
         pairs = pairs.groupBy(F.col("sig").alias("a"), F.col("p.sig").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb")).agg(F.max("copies").alias("copies"))
-        links.add(verify(pairs, segments, num, den))
+        # written, so that few pairs are sent to the segments and these are not shuffled
+        links.add(verify(cut(spark, pairs, f"jaccard-pairs{star}"), segments, num, den))
         active = met.select("token", "sig", "n", "single", "pos")
     # what is left: members of different components in one bucket, tile by tile
     active = links.of(active)
@@ -418,7 +417,7 @@ def _rows_with_components(spark: SparkSession, docs: DataFrame, k: int, num: int
     groups = max(1, math.ceil(tiles.count() / 20_000))
     tiles = tiles.join(classes.select("sig", "cells"), "sig").withColumn("g", F.pmod(F.xxhash64("token", "i", "j"), F.lit(groups)).cast("int"))
     pairs = tiles.groupBy("g").applyInPandas(_tiles(num, den), "a bigint, b bigint, na int, nb int").distinct().withColumn("copies", F.lit(1).cast("bigint"))
-    links.add(verify(pairs, segments, num, den))
+    links.add(verify(cut(spark, pairs, "jaccard-tile-pairs"), segments, num, den))
     # smallest id of each component
     members = links.of(sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least")))
     least = members.groupBy("comp").agg(F.min("least").alias("component_id"))
