@@ -397,14 +397,14 @@ def _rows_with_components(spark: SparkSession, docs: DataFrame, k: int, num: int
         links.add(verify(cut(spark, pairs, f"jaccard-pairs{star}"), segments, num, den))
         active = met.select("token", "sig", "n", "single", "pos")
     # what is left: members of different components in one bucket, tile by tile
-    active = links.of(active)
+    active = cut(spark, links.of(active), "jaccard-left")
     sizes = active.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"))
     sizes = sizes.groupBy("token").agg(F.max(F.struct("m", "comp")).alias("main"), F.sum("m").alias("all"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
     sizes = sizes.select(
-        F.col("token").alias("t"), F.col("main.comp").alias("main"),
+        F.col("token").alias("_key"), F.col("main.comp").alias("main"), F.col("all").alias("m"),
         F.ceil((F.col("all") - F.col("main.m")) / TILE).cast("int").alias("others"), F.ceil(F.col("main.m") / TILE).cast("int").alias("mains"),
     )
-    left = active.join(sizes, F.col("token") == F.col("t")).drop("t")
+    left = join_spread(spark, active, "token", sizes, "jaccard-buckets")
     deal = F.xxhash64("sig")
     is_main = F.col("comp") == F.col("main")
     number = F.when(is_main, F.col("others") + F.pmod(deal, F.col("mains"))).otherwise(F.pmod(deal, F.col("others"))).cast("int")
