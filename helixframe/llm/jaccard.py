@@ -59,6 +59,7 @@ SEGMENTS = 16
 CELLS = 64
 STARS = 3
 TILE = 512
+TILE_ROWS = 4000
 SIGNED_ROWS = 512
 COPY_PAIRS = 1024
 _U = np.uint64
@@ -414,7 +415,7 @@ def _rows_with_components(spark: SparkSession, docs: DataFrame, k: int, num: int
     as_right = left.withColumn("i", F.explode(F.sequence(F.lit(0), F.least("number", F.col("others") - 1)))).withColumn("j", F.col("number")).withColumn("side", F.lit(1)).where("i <> j")
     cols = ("token", "i", "j", "side", "sig", "n", "pos", "comp")
     tiles = cut(spark, as_left.select(*cols).unionByName(as_right.select(*cols)), "jaccard-tiles")
-    groups = max(1, math.ceil(tiles.count() / 20_000))
+    groups = max(1, math.ceil(tiles.count() / TILE_ROWS))
     tiles = tiles.join(classes.select("sig", "cells"), "sig").withColumn("g", F.pmod(F.xxhash64("token", "i", "j"), F.lit(groups)).cast("int"))
     pairs = tiles.groupBy("g").applyInPandas(_tiles(num, den), "a bigint, b bigint, na int, nb int").distinct().withColumn("copies", F.lit(1).cast("bigint"))
     links.add(verify(cut(spark, pairs, "jaccard-tile-pairs"), segments, num, den))
