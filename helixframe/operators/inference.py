@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import finite_or_null, zscore
+from ..functions.stats import finite_or_null, quantiles, running_sum, zscore
 
 
 def least_squares(df: DataFrame, xs: tuple[str, ...], y: str) -> dict[str, float]:
@@ -20,43 +20,61 @@ def least_squares(df: DataFrame, xs: tuple[str, ...], y: str) -> dict[str, float
     return dict(zip(xs, b)) | {"intercept": row[f"m{k}"] - float(sum(b[i] * row[f"m{i}"] for i in range(k)))}
 
 
-def spearman(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Rank correlations of all pairs over rows complete in the pair; three rows at least."""
+def correlations(spark: SparkSession, df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Pearson's and Spearman's coefficient of all pairs over rows complete in the pair: x, y, pearson, rho,
+    n; null for fewer than three rows or where a column is constant. Ranks come from counts per value."""
     out = None
     for i, a in enumerate(columns):
         for b in columns[i + 1 :]:
             two = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("w"))
-            # ranks from counts per value: pairs of values carry their number of rows
-            ranks = lambda c: two.groupBy(c).agg(F.sum("w").alias("m")).withColumn("r", F.coalesce(F.sum("m").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + (F.col("m") + 1) / 2).select(F.col(c), F.col("r").alias(f"r_{c}"))  # noqa: E731, B023
+            # pairs of values carry their number of rows
+
+            def ranks(c, two=two):
+                per = running_sum(spark, two.groupBy(c).agg(F.sum("w").alias("m")), c, "m")
+                return per.select(F.col(c), (F.col("upto_m") - F.col("m") + (F.col("m") + 1) / 2).alias(f"r_{c}"))
+
             j = two.join(ranks(a), a).join(ranks(b), b)
-            x, y, w = F.col(f"r_{a}"), F.col(f"r_{b}"), F.col("w")
-            s = j.agg(F.sum("w").alias("n"), *[F.sum(w * e).alias(n) for n, e in (("sx", x), ("sy", y), ("sxx", x * x), ("syy", y * y), ("sxy", x * y))])
-            cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
-            var = lambda q, t: F.col(q) - F.col(t) * F.col(t) / F.col("n")
-            rho = F.when((F.col("n") >= 3) & (var("sxx", "sx") > 0) & (var("syy", "sy") > 0), cov / F.sqrt(var("sxx", "sx") * var("syy", "sy")))
-            row = s.select(F.lit(a).alias("x"), F.lit(b).alias("y"), F.round(rho, 6).alias("rho"), "n")
+            w, four = F.col("w"), {"x": F.col(a).cast("double"), "y": F.col(b).cast("double"), "s": F.col(f"r_{a}"), "t": F.col(f"r_{b}")}
+            sums = {k: v for k, v in four.items()} | {p + q: four[p] * four[q] for p, q in ("xx", "yy", "xy", "ss", "tt", "st")}
+            total = j.agg(F.sum("w").alias("n"), *[F.sum(w * v).alias(k) for k, v in sums.items()])
+
+            def about(p, q):
+                return F.col(p + q) - F.col(p) * F.col(q) / F.col("n")
+
+            def coefficient(p, q):
+                return F.when((F.col("n") >= 3) & (about(p, p) > 1e-9 * F.col(p + p)) & (about(q, q) > 1e-9 * F.col(q + q)), about(p, q) / F.sqrt(about(p, p) * about(q, q)))
+
+            row = total.select(F.lit(a).alias("x_name"), F.lit(b).alias("y_name"), F.round(coefficient("x", "y"), 6).alias("pearson"), F.round(coefficient("s", "t"), 6).alias("rho"), "n")
+            row = row.select(F.col("x_name").alias("x"), F.col("y_name").alias("y"), "pearson", "rho", "n")
             out = row if out is None else out.unionByName(row)
     return out
 
 
-def separation(df: DataFrame) -> DataFrame:
-    """AUC (ties half), standardized mean difference and KS distance of x between case and not, from counts per value."""
-    per = df.groupBy("x").agg(F.count_if("case").alias("c1"), F.count_if(~F.col("case")).alias("c0"))
-    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    per = per.withColumns({"u1": F.sum("c1").over(w), "u0": F.sum("c0").over(w)})
-    tot = df.agg(*[f.alias(n) for n, f in (("n1", F.count_if("case")), ("n0", F.count_if(~F.col("case"))), *[(f"{a}{g}", fn(F.when(c, F.col("x")))) for a, fn in (("m", F.avg), ("v", F.var_samp)) for g, c in ((1, F.col("case")), (0, ~F.col("case")))])])
-    j = per.crossJoin(F.broadcast(tot))
-    wins = F.sum(F.col("c1") * (F.col("u0") - F.col("c0") + F.col("c0") / 2))
+def spearman(spark: SparkSession, df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Rank correlations of all pairs."""
+    return correlations(spark, df, columns).select("x", "y", "rho", "n")
+
+
+def separation(spark: SparkSession, df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """AUC (ties half), standardized mean difference and KS distance of x between case and not, in all or per
+    stratum ``by``, from counts per value."""
+    per = df.groupBy(*by, "x").agg(F.count_if("case").alias("c1"), F.count_if(~F.col("case")).alias("c0"))
+    per = running_sum(spark, per, "x", "c1", "c0", by=by)
+    yes, no = F.when(F.col("case"), F.col("x")), F.when(~F.col("case"), F.col("x"))
+    tot = df.groupBy(*by).agg(F.count(yes).alias("n1"), F.count(no).alias("n0"), F.avg(yes).alias("m1"), F.avg(no).alias("m0"), F.var_samp(yes).alias("v1"), F.var_samp(no).alias("v0"))
+    j = per.join(tot, list(by)) if by else per.crossJoin(F.broadcast(tot))
+    wins = F.sum(F.col("c1") * (F.col("upto_c0") - F.col("c0") + F.col("c0") / 2))
     one = lambda c: F.first(c)
-    return j.agg(
+    return j.groupBy(*by).agg(
         one("n1").alias("n1"), one("n0").alias("n0"), F.round(wins / (one("n1") * one("n0")), 6).alias("auc"),
-        F.round((one("m1") - one("m0")) / F.sqrt((one("v1") + one("v0")) / 2), 6).alias("smd"), F.round(F.max(F.abs(F.col("u1") / F.col("n1") - F.col("u0") / F.col("n0"))), 6).alias("ks"),
+        F.round((one("m1") - one("m0")) / F.sqrt((one("v1") + one("v0")) / 2), 6).alias("smd"), F.round(F.max(F.abs(F.col("upto_c1") / F.col("n1") - F.col("upto_c0") / F.col("n0"))), 6).alias("ks"),
     )
 
 
-def standardized(df: DataFrame, strata: int) -> DataFrame:
+def standardized(spark: SparkSession, df: DataFrame, strata: int) -> DataFrame:
     """Means of y among cases, and among others weighted by cases, over quantile strata of ``by``."""
-    q = df.agg(F.percentile("by", F.array(*[F.lit(i / strata) for i in range(1, strata)])).alias("q"))
+    q = quantiles(spark, df, "by", {f"q{i}": i / strata for i in range(1, strata)})
+    q = q.select(F.array(*q.columns).alias("q"))
     s = df.crossJoin(F.broadcast(q)).withColumn("s", F.size(F.filter("q", lambda t: F.col("by") > t)))
     g = s.groupBy("s").agg(F.count_if("case").alias("w"), F.avg(F.when(F.col("case"), F.col("y"))).alias("y1"), F.avg(F.when(~F.col("case"), F.col("y"))).alias("y0")).where("w > 0 and y0 is not null")
     return g.agg(*[F.round(F.sum(F.col("w") * F.col(c)) / F.sum("w"), 6).alias(n) for c, n in (("y1", "cases"), ("y0", "standardized"))])
@@ -98,11 +116,12 @@ def two_sided_p(t: float, df: float) -> float:
     return beta_fraction(df / 2, 0.5, df / (df + t * t))
 
 
-def standardize(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+def standardize(spark: SparkSession, df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Not finite to null, null to the median, then population z; a constant column gives 0."""
-    clean = df.withColumns({c: finite_or_null(F.col(c).cast("double")) for c in columns})
-    med = clean.agg(*[F.percentile(c, 0.5).alias(f"_m_{c}") for c in columns])
-    full = clean.crossJoin(F.broadcast(med)).withColumns({c: F.coalesce(c, f"_m_{c}") for c in columns})
+    full = df.withColumns({c: finite_or_null(F.col(c).cast("double")) for c in columns})
+    for c in columns:
+        full = full.crossJoin(F.broadcast(quantiles(spark, full, c, {f"_m_{c}": 0.5})))  # one row
+    full = full.withColumns({c: F.coalesce(c, f"_m_{c}") for c in columns})
     s = full.agg(*[F.avg(c).alias(f"_a_{c}") for c in columns], *[F.stddev_pop(c).alias(f"_s_{c}") for c in columns])
     z = full.crossJoin(F.broadcast(s))
     return z.withColumns({c: zscore(F.col(c), F.col(f"_a_{c}"), F.col(f"_s_{c}")) for c in columns}).select(*df.columns)
@@ -141,7 +160,7 @@ def permutation(spark: SparkSession, df: DataFrame, replicates: int) -> DataFram
     cases = df.groupBy("stratum").agg(F.sum("case").alias("k"))
     r = df.select("id", "x", "stratum", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
     w = Window.partitionBy("r", "stratum").orderBy(F.xxhash64("id", "r"), "id")
-    null = r.withColumn("n", F.row_number().over(w)).join(F.broadcast(cases), "stratum").where("n <= k").groupBy("r").agg(F.avg("x").alias("m"))
+    null = r.withColumn("n", F.row_number().over(w)).join(cases, "stratum").where("n <= k").groupBy("r").agg(F.avg("x").alias("m"))
     seen = df.where("case = 1").agg(F.avg("x").alias("seen"))
     return null.crossJoin(F.broadcast(seen)).agg(F.first("seen").alias("observed"), ((F.count_if(F.col("m") >= F.col("seen")) + 1) / (F.count(F.lit(1)) + 1)).alias("p"))
 

@@ -34,9 +34,9 @@ def tuple_semi_join(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").join(cohort, ["l_orderkey", "l_linenumber"], "left_semi").select("l_orderkey", "l_linenumber", "l_quantity")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 250000)")
 def pending_anti(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").join(table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
+    return table(spark, d, "customer").join(table(spark, d, "orders").where("o_totalprice > 250000").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
 
 
 @query("""WITH s AS (SELECT avg(l_extendedprice) AS m, stddev_pop(l_extendedprice) AS sd FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, round(CASE WHEN sd > 0 THEN (l_extendedprice - m) / sd ELSE 0.0 END, 6) AS z FROM lineitem, s""")
@@ -50,8 +50,9 @@ def crossjoin_stats_z(spark: SparkSession, d: str) -> DataFrame:
 SELECT l_orderkey, l_linenumber, l_partkey, round((l_extendedprice - q2) / ((q3 - q1) / 1.349::DOUBLE), 5) AS z FROM lineitem JOIN s USING (l_returnflag)""")
 def robust_z(spark: SparkSession, d: str) -> DataFrame:
     l = table(spark, d, "lineitem")
-    s = l.groupBy("l_returnflag").agg(F.percentile("l_extendedprice", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    return l.join(s, "l_returnflag").select("l_orderkey", "l_linenumber", "l_partkey", F.round(St.robust_iqr(F.col("l_extendedprice"), F.col("q")[1], F.col("q")[0], F.col("q")[2]), 5).alias("z"))
+    s = St.quantiles(spark, l, "l_extendedprice", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, ("l_returnflag",))
+    z = St.robust_iqr(F.col("l_extendedprice"), F.col("q2"), F.col("q1"), F.col("q3"))
+    return l.join(s, "l_returnflag").select("l_orderkey", "l_linenumber", "l_partkey", F.round(z, 5).alias("z"))
 
 
 @query("""WITH g AS (SELECT p_brand, avg(p_retailprice) AS m, stddev_pop(p_retailprice) AS sd, count(*) AS n FROM part GROUP BY 1 HAVING count(*) >= 30)
@@ -109,33 +110,32 @@ def length_deciles(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT p_partkey, p_brand, round(percent_rank() OVER (PARTITION BY p_brand ORDER BY p_retailprice), 6) AS pr, count(*) OVER (PARTITION BY p_brand) AS group_n FROM part""")
 def percent_rank_within(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("p_brand")
-    return table(spark, d, "part").select("p_partkey", "p_brand", r6(F.percent_rank().over(w.orderBy("p_retailprice")), "pr"), F.count(F.lit(1)).over(w).alias("group_n"))
+    p = table(spark, d, "part").select("p_partkey", "p_brand", F.col("p_retailprice").alias("value"))
+    per = St.value_counts(spark, p, "value", ("p_brand",))
+    below = F.when(F.col("n") > 1, (F.col("upto_c") - F.col("c")) / (F.col("n") - 1)).otherwise(0.0)
+    per = per.select("p_brand", "value", r6(below, "pr"), F.col("n").alias("group_n"))
+    return p.join(per, ["p_brand", "value"]).select("p_partkey", "p_brand", "pr", "group_n")
 
 
 @query("""WITH r AS (SELECT l_returnflag, l_extendedprice AS x, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) - 1 AS i, count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem)
 SELECT l_returnflag, max(x) FILTER (i = floor(0.25 * n)::BIGINT) AS q25, max(x) FILTER (i = floor(0.5 * n)::BIGINT) AS q50, max(x) FILTER (i = floor(0.95 * n)::BIGINT) AS q95 FROM r GROUP BY 1""")
 def quantile_exact_index(spark: SparkSession, d: str) -> DataFrame:
-    """The element at 0-based place floor(p * n), from counts per value: rows are pre-aggregated, and the running count is
-    taken over distinct values."""
-    per = table(spark, d, "lineitem").groupBy("l_returnflag", F.col("l_extendedprice").alias("x")).agg(n_("c"))
-    w = Window.partitionBy("l_returnflag")
-    per = per.withColumns({"upto": F.sum("c").over(w.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)), "n": F.sum("c").over(w)})
-    at = lambda p, name: F.min(F.when(F.col("upto") > F.least(F.floor(F.lit(p) * F.col("n")), F.col("n") - 1), F.col("x"))).alias(name)
-    return per.groupBy("l_returnflag").agg(at(0.25, "q25"), at(0.5, "q50"), at(0.95, "q95"))
+    """The element at 0-based place floor(p * n)."""
+    return St.quantiles(spark, table(spark, d, "lineitem"), "l_extendedprice", {"q25": 0.25, "q50": 0.5, "q95": 0.95}, ("l_returnflag",), interpolated=False)
 
 
 @query("""SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.25), 6) AS q25, round(quantile_cont(l_extendedprice, 0.5), 6) AS q50, round(quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25), 6) AS iqr FROM lineitem GROUP BY 1""")
 def quantile_interpolated(spark: SparkSession, d: str) -> DataFrame:
-    q = lambda p: F.percentile("l_extendedprice", p)
-    return table(spark, d, "lineitem").groupBy("l_returnflag").agg(r6(q(0.25), "q25"), r6(q(0.5), "q50"), r6(q(0.75) - q(0.25), "iqr"))
+    q = St.quantiles(spark, table(spark, d, "lineitem"), "l_extendedprice", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ("l_returnflag",))
+    return q.select("l_returnflag", r6(F.col("q25"), "q25"), r6(F.col("q50"), "q50"), r6(F.col("q75") - F.col("q25"), "iqr"))
 
 
 @query("""WITH q AS (SELECT quantile_cont(p_retailprice, 0.2) AS a, quantile_cont(p_retailprice, 0.4) AS b, quantile_cont(p_retailprice, 0.6) AS c, quantile_cont(p_retailprice, 0.8) AS e FROM part)
 SELECT CASE WHEN p_retailprice <= a THEN 'very low' WHEN p_retailprice <= b THEN 'low' WHEN p_retailprice <= c THEN 'middle' WHEN p_retailprice <= e THEN 'high' ELSE 'very high' END AS band, count(*) AS n FROM part, q GROUP BY 1""")
 def quantile_bands(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part")
-    q = p.agg(F.percentile("p_retailprice", F.array(*[F.lit(x) for x in (0.2, 0.4, 0.6, 0.8)])).alias("q"))
+    q = St.quantiles(spark, p, "p_retailprice", {f"q{i}": x for i, x in enumerate((0.2, 0.4, 0.6, 0.8))})
+    q = q.select(F.array(*q.columns).alias("q"))
     x, band = F.col("p_retailprice"), F.when(F.lit(False), "")
     for i, name in enumerate(("very low", "low", "middle", "high")):
         band = band.when(x <= F.col("q")[i], name)
@@ -252,11 +252,18 @@ def melt(spark: SparkSession, d: str) -> DataFrame:
     return s.unpivot("s_suppkey", ["s_acctbal", "s_half"], "metric", "value").where("value is not null")
 
 
-@query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey)::INTEGER AS k FROM orders) SELECT a.o_orderpriority, a.o_orderkey AS target, b.o_orderkey AS member FROM r a JOIN r b ON a.o_orderpriority = b.o_orderpriority AND a.k = 1 AND b.k <= 5""")
+_RANKS = ("r_name", "n_name", "c_mktsegment")
+
+
+@query("""WITH x AS (SELECT c_custkey, r_name, n_name, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey), t AS (SELECT * FROM x WHERE c_custkey = 42)
+""" + " UNION ALL ".join(f"SELECT '{r}' AS rank, x.{r} AS value, x.c_custkey AS member FROM x, t WHERE x.{r} = t.{r}" for r in _RANKS))
 def cohort_of_record(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("o_orderpriority").orderBy(F.desc("o_totalprice"), "o_orderkey")
-    r = table(spark, d, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice").withColumn("k", F.row_number().over(w)).where("k <= 5")
-    return r.where("k = 1").select("o_orderpriority", F.col("o_orderkey").alias("target")).join(r.select("o_orderpriority", F.col("o_orderkey").alias("member")), "o_orderpriority")
+    """Everyone who shares the selected record's value at a chosen rank, for each rank that can be chosen."""
+    c, n, r = table(spark, d, "customer"), table(spark, d, "nation"), table(spark, d, "region")
+    x = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select("c_custkey", *_RANKS)
+    long = x.unpivot("c_custkey", list(_RANKS), "rank", "value")
+    mine = x.where("c_custkey = 42").unpivot([], list(_RANKS), "rank", "value")
+    return long.join(mine, ["rank", "value"]).select("rank", "value", F.col("c_custkey").alias("member"))
 
 
 @query("""SELECT c_custkey, round(coalesce(try_cast(replace(printf('%,d', (c_acctbal * 100)::BIGINT), ',', '') AS DOUBLE), 0), 2) AS parsed FROM customer""".replace("printf('%,d', (c_acctbal * 100)::BIGINT)", "(c_acctbal::DECIMAL(18, 2))::VARCHAR"))

@@ -41,7 +41,7 @@ def ols_composition(spark: SparkSession, d: str) -> DataFrame:
   rank() OVER (ORDER BY l_tax) + (count(*) OVER (PARTITION BY l_tax) - 1) / 2 AS c FROM lineitem) SELECT 'quantity' AS x, 'discount' AS y, round(corr(a, b), 6) AS rho, count(*) AS n FROM r UNION ALL SELECT 'quantity', 'tax', round(corr(a, c), 6), count(*) FROM r UNION ALL SELECT 'discount', 'tax', round(corr(b, c), 6), count(*) FROM r""")
 def spearman_matrix(spark: SparkSession, d: str) -> DataFrame:
     l = table(spark, d, "lineitem").select(F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"))
-    return I.spearman(l, ("quantity", "discount", "tax"))
+    return I.spearman(spark, l, ("quantity", "discount", "tax"))
 
 
 @query("""WITH x AS (SELECT l_extendedprice AS x, l_returnflag = 'R' AS c FROM lineitem WHERE l_returnflag IN ('R', 'A')), r AS (SELECT *, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2 AS mid FROM x),
@@ -50,7 +50,7 @@ k AS (SELECT DISTINCT x, sum(c::INTEGER) OVER (ORDER BY x) AS c1, sum((NOT c)::I
 SELECT n1, n0, round((r1 - n1 * (n1 + 1) / 2) / (n1 * n0), 6) AS auc, round((m1 - m0) / sqrt((v1 + v0) / 2), 6) AS smd, (SELECT round(max(abs(c1 / n1 - c0 / n0)), 6) FROM k) AS ks FROM s""")
 def auc_ks_smd(spark: SparkSession, d: str) -> DataFrame:
     l = table(spark, d, "lineitem").where(F.col("l_returnflag").isin("R", "A"))
-    return I.separation(l.select(F.col("l_extendedprice").alias("x"), (F.col("l_returnflag") == "R").alias("case")))
+    return I.separation(spark, l.select(F.col("l_extendedprice").alias("x"), (F.col("l_returnflag") == "R").alias("case")))
 
 
 @query("""WITH e AS (SELECT list_transform(range(1, 10), lambda i: quantile_cont) AS z FROM (SELECT 0 AS quantile_cont)), q AS (SELECT quantile_cont(l_discount, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS q FROM lineitem),
@@ -58,7 +58,7 @@ s AS (SELECT l_returnflag = 'R' AS c, l_quantity AS y, len(list_filter(q, lambda
 SELECT round(sum(w * y1) FILTER (y0 IS NOT NULL) / sum(w) FILTER (y0 IS NOT NULL), 6) AS cases, round(sum(w * y0) / sum(w) FILTER (y0 IS NOT NULL), 6) AS standardized FROM g WHERE w > 0""".replace("""e AS (SELECT list_transform(range(1, 10), lambda i: quantile_cont) AS z FROM (SELECT 0 AS quantile_cont)), """, ""))
 def gc_standardized(spark: SparkSession, d: str) -> DataFrame:
     l = table(spark, d, "lineitem").select((F.col("l_returnflag") == "R").alias("case"), F.col("l_quantity").alias("y"), F.col("l_discount").alias("by"))
-    return I.standardized(l, 10)
+    return I.standardized(spark, l, 10)
 
 
 @query(f"""WITH {LIK}, x AS (SELECT *, ntile(10) OVER (ORDER BY sequence_length, record_id, start, l_partkey, l_suppkey, mean_log_prob)::INTEGER AS decile FROM lik), s AS (SELECT regr_slope(mean_log_prob, ln(1 + sequence_length)) AS b, regr_intercept(mean_log_prob, ln(1 + sequence_length)) AS a FROM lik)
@@ -81,9 +81,9 @@ def anomaly_scores(spark: SparkSession, d: str) -> DataFrame:
     l, p = table(spark, d, "lineitem"), table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     k = cut(spark, l.join(p, "l_partkey").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").alias("x"), F.col("l_discount").alias("g"), "p_brand"), "anomaly")
     b = k.groupBy("p_brand").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("sd"), n_()).where("n >= 30").drop("n")
-    o = k.agg(F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.avg("g").alias("mg"), F.stddev_pop("g").alias("sg"))
+    o = k.agg(F.avg("g").alias("mg"), F.stddev_pop("g").alias("sg")).crossJoin(St.quantiles(spark, k, "x", {"q1": 0.25, "q2": 0.5, "q3": 0.75}))
     z = k.join(b, "p_brand", "left").crossJoin(F.broadcast(o)).withColumns({
-        "taxon_z": F.coalesce(St.zscore(F.col("x"), F.col("m"), F.col("sd")), F.lit(0.0)), "global_z": St.robust_iqr(F.col("x"), F.col("q")[1], F.col("q")[0], F.col("q")[2]), "content_z": St.zscore(F.col("g"), F.col("mg"), F.col("sg")),
+        "taxon_z": F.coalesce(St.zscore(F.col("x"), F.col("m"), F.col("sd")), F.lit(0.0)), "global_z": St.robust_iqr(F.col("x"), F.col("q2"), F.col("q1"), F.col("q3")), "content_z": St.zscore(F.col("g"), F.col("mg"), F.col("sg")),
     })
     over = lambda c, t: (F.abs(c) > t).cast("int")
     return z.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *[F.round(c, 5).alias(c) for c in ("taxon_z", "global_z", "content_z")], (over("taxon_z", 2) + over("global_z", 2) + over("content_z", 1.5)).alias("layers"))
@@ -98,7 +98,7 @@ def welch_test(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH m AS (SELECT median(c_acctbal) AS q FROM customer), x AS (SELECT c_custkey, coalesce(c_acctbal, q) AS a FROM customer, m), s AS (SELECT avg(a) AS m, stddev_pop(a) AS sd FROM x) SELECT c_custkey, round(CASE WHEN sd > 0 THEN (a - m) / sd ELSE 0.0 END, 6) AS z FROM x, s""")
 def standardize_features(spark: SparkSession, d: str) -> DataFrame:
-    return I.standardize(table(spark, d, "customer").select("c_custkey", "c_acctbal"), ("c_acctbal",)).select("c_custkey", r6(F.col("c_acctbal"), "z"))
+    return I.standardize(spark, table(spark, d, "customer").select("c_custkey", "c_acctbal"), ("c_acctbal",)).select("c_custkey", r6(F.col("c_acctbal"), "z"))
 
 
 @query("""WITH t AS (SELECT count(*) AS total FROM events) SELECT event_type, count(*) AS n, round(sum(value), 4) AS total, count(*) FILTER (props IS NULL) AS missing_props FROM events GROUP BY event_type""")
