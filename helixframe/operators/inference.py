@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import finite_or_null, quantiles, running_sum, zscore
+from ..sources.shared import cut
 
 
 def least_squares(df: DataFrame, xs: tuple[str, ...], y: str) -> dict[str, float]:
@@ -140,16 +141,21 @@ def cluster_robust(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "term string, estimate double, error double, clusters bigint")
 
 
-def bootstrap(df: DataFrame, replicates: int, level: float = 0.95) -> DataFrame:
-    """Interval of the mean of x; a row's weight in a replicate is Poisson(1) from a hash of both."""
-    r = df.select("id", "x", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
-    u = F.pmod(F.xxhash64("id", "r"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    weight, total, p = F.lit(0), 0.0, np.exp(-1.0)
+def poisson_weight(*of: str) -> Column:
+    """Poisson(1) from a hash of columns."""
+    u = F.pmod(F.xxhash64(*of), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    weight, total, p = F.lit(0), 0.0, float(np.exp(-1.0))
     for k in range(8):
         total += p
         weight = weight + F.when(u > total, 1).otherwise(0)
         p /= k + 1
-    m = r.withColumn("w", weight).groupBy("r").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("m"))
+    return weight
+
+
+def bootstrap(df: DataFrame, replicates: int, level: float = 0.95) -> DataFrame:
+    """Interval of the mean of x; a row's weight in a replicate is Poisson(1) from a hash of both."""
+    r = df.select("id", "x", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
+    m = r.withColumn("w", poisson_weight("id", "r")).groupBy("r").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("m"))
     a = (1 - level) / 2
     return m.agg(F.percentile("m", a).alias("low"), F.percentile("m", 0.5).alias("middle"), F.percentile("m", 1 - a).alias("high"), F.count(F.lit(1)).alias("replicates"))
 
@@ -173,10 +179,37 @@ def holm(p: list[float]) -> list[float]:
     return out
 
 
-def core_points(points: DataFrame, radius: float, least: int) -> DataFrame:
-    """id, neighbours within the radius (itself included), core; a range join over a grid of cells of the radius."""
-    c = points.withColumns({"cx": F.floor(F.col("x") / radius), "cy": F.floor(F.col("y") / radius)})
-    around = c.select("id", "x", "y", F.explode(F.expr("transform(sequence(0, 8), i -> struct(cx + i div 3 - 1 as cx, cy + i % 3 - 1 as cy))")).alias("g")).select("id", "x", "y", "g.*")
-    other = c.select(F.col("x").alias("ox"), F.col("y").alias("oy"), "cx", "cy")
-    near = around.join(other, ["cx", "cy"]).where(F.pow(F.col("x") - F.col("ox"), 2) + F.pow(F.col("y") - F.col("oy"), 2) <= radius * radius)
-    return near.groupBy("id").agg(F.count(F.lit(1)).alias("neighbours")).withColumn("core", F.col("neighbours") >= least)
+def cluster_bootstrap(df: DataFrame, replicates: int, level: float = 0.95) -> DataFrame:
+    """Interval of the mean of x where whole clusters are drawn: a cluster's weight in a replicate is Poisson(1)
+    from a hash of both, and all its rows share it. Clusters are summed first."""
+    per = df.groupBy(F.col("cluster").alias("id")).agg(F.sum("x").alias("s"), F.count("x").alias("n"))
+    r = per.select("id", "s", "n", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
+    m = r.withColumn("w", poisson_weight("id", "r")).groupBy("r").agg((F.sum(F.col("w") * F.col("s")) / F.sum(F.col("w") * F.col("n"))).alias("m"))
+    a = (1 - level) / 2
+    return m.agg(F.percentile("m", a).alias("low"), F.percentile("m", 0.5).alias("middle"), F.percentile("m", 1 - a).alias("high"), F.count(F.lit(1)).alias("replicates"))
+
+
+def graph_permutation(spark: SparkSession, edges: DataFrame, labels: DataFrame, replicates: int) -> DataFrame:
+    """One-sided p of the share of edges between equal labels, on the fixed graph, with labels shuffled within
+    strata. edges: u, v; labels: id, label, stratum. A shuffle gives the labels in order of id to the ids in order
+    of a hash of replicate and id; both orders are numbered per stratum by range partitions."""
+    base = labels.select("id", "label", "stratum", F.lit(1).alias("one"))
+    there = running_sum(spark, base, "id", "one", by=("stratum",)).select(F.col("stratum").alias("_s"), F.col("upto_one").alias("_n"), "label")
+    r = base.select("id", "stratum", "one", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
+    r = r.withColumn("place", F.struct(F.xxhash64("r", "id").alias("h"), "id"))
+    given = running_sum(spark, r, "place", "one", by=("r", "stratum"))
+    given = given.join(there, (F.col("stratum") == F.col("_s")) & (F.col("upto_one") == F.col("_n"))).select("r", "id", "label")
+    given = cut(spark, given.unionByName(labels.select(F.lit(0).alias("r"), "id", "label")), "permuted")
+    side = lambda name: given.select(F.col("r").alias(f"r_{name}"), F.col("id").alias(f"id_{name}"), F.col("label").alias(f"label_{name}"))
+    j = edges.join(side("u"), F.col("u") == F.col("id_u")).join(side("v"), (F.col("v") == F.col("id_v")) & (F.col("r_u") == F.col("r_v")))
+    share = j.groupBy(F.col("r_u").alias("r")).agg(F.avg((F.col("label_u") == F.col("label_v")).cast("int")).alias("share"))
+    seen = share.where("r = 0").select(F.col("share").alias("seen"))  # one row
+    null = share.where("r > 0").crossJoin(F.broadcast(seen))
+    return null.agg(F.first("seen").alias("observed"), F.avg("share").alias("expected"), ((F.count_if(F.col("share") >= F.col("seen")) + 1) / (F.count(F.lit(1)) + 1)).alias("p"), F.count(F.lit(1)).alias("replicates"))
+
+
+def within_groups(df: DataFrame, columns: tuple[str, ...], group: str) -> DataFrame:
+    """Columns less their group's mean: what fixed effects of the group leave."""
+    means = df.groupBy(group).agg(*[F.avg(c).alias(f"_m_{c}") for c in columns]).withColumnRenamed(group, "_g")
+    out = df.join(means, F.col(group).eqNullSafe(F.col("_g")))
+    return out.withColumns({c: F.col(c) - F.col(f"_m_{c}") for c in columns}).select(*df.columns)

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import stats as St
+from ..operators import cluster as K
 from ..operators import inference as I
 from ..sources.shared import cut, table
 from ..streaming.ingest import validate_stream
-from .adapters import LIK, likelihoods, sequences
+from .adapters import LIK, SEQ, likelihoods, sequences
 from .registry import query
+from .vector_queries import _edges
 
 r6 = lambda c, name: F.round(c, 6).alias(name)
 n_ = lambda name="n": F.count(F.lit(1)).alias(name)
@@ -140,7 +142,67 @@ def permutation_null(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query()
+def cluster_bootstrap_ci(spark: SparkSession, d: str) -> DataFrame:
+    """Interval of the mean line price where whole orders are drawn."""
+    return I.cluster_bootstrap(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("cluster"), F.col("l_extendedprice").alias("x")), 200)
+
+
+@query()
+def graph_permutation(spark: SparkSession, d: str) -> DataFrame:
+    """Share of neighbour edges between equal labels against labels shuffled within strata, on the fixed graph."""
+    u, edges, _ = _edges(spark, d)
+    labels = u.select("id", "label", (F.col("id") % 3).alias("stratum"))
+    return I.graph_permutation(spark, edges.select(F.col("query").alias("u"), F.col("neighbour").alias("v")), labels, 100)
+
+
+@query("""WITH x AS (SELECT l_quantity - avg(l_quantity) OVER (PARTITION BY l_suppkey) AS x, l_extendedprice - avg(l_extendedprice) OVER (PARTITION BY l_suppkey) AS y FROM lineitem) SELECT round(sum(x * y) / sum(x * x), 4) AS slope, count(*) AS n FROM x""")
+def fixed_effects_slope(spark: SparkSession, d: str) -> DataFrame:
+    """Slope of price on quantity with fixed effects of suppliers."""
+    l = table(spark, d, "lineitem").select(F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"), "l_suppkey")
+    w = I.within_groups(l, ("x", "y"), "l_suppkey")
+    return w.agg(F.round(F.sum(F.col("x") * F.col("y")) / F.sum(F.col("x") * F.col("x")), 4).alias("slope"), n_())
+
+
+@query("""WITH s AS (SELECT count(*) FILTER (l_returnflag = 'R') AS n1, count(*) FILTER (l_returnflag = 'N') AS n0, avg(l_quantity) FILTER (l_returnflag = 'R') AS m1, avg(l_quantity) FILTER (l_returnflag = 'N') AS m0, var_samp(l_quantity) FILTER (l_returnflag = 'R') AS v1,
+  var_samp(l_quantity) FILTER (l_returnflag = 'N') AS v0 FROM lineitem), t AS (SELECT abs((m1 - m0) / sqrt(v1 / n1 + v0 / n0)) AS t FROM s),
+-- degrees of freedom are in the thousands: Simpson's rule over the normal density, to three places
+g AS (SELECT t, i, exp(-0.5 * (t * i / 2000.0) ** 2) / sqrt(2 * pi()) * CASE WHEN i = 0 OR i = 2000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS f FROM t, range(0, 2001) AS r(i))
+SELECT round(1 - 2 * sum(f) * any_value(t) / 2000.0 / 3, 2) AS p FROM g""")
+def welch_p(spark: SparkSession, d: str) -> DataFrame:
+    """Two-sided p of Welch's test."""
+    l = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("group"), F.col("l_quantity").alias("x"))
+    t, df = I.welch(l, "R", "N").select("t", "df").first()  # one row
+    return spark.createDataFrame([(round(I.two_sided_p(t, df), 2),)], "p double")
+
+
+def _points(spark, d):
+    s = sequences(spark, d)
+    return s.select(F.col("doc_id").alias("id"), (F.log10(F.length("sequence") + 1.0) * 4).alias("x"), (F.length("sequence") % 97 / 24.0).alias("y"))
+
+
+_POINTS = f"""{SEQ}, p AS (SELECT doc_id AS id, log10(length(sequence) + 1.0) * 4 AS x, length(sequence) % 97 / 24.0::DOUBLE AS y FROM seq),
+near AS (SELECT a.id AS a, b.id AS b FROM p a JOIN p b ON (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= {{r}} * {{r}}), core AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= 20),
+reach AS (SELECT id AS a, id AS b FROM core UNION SELECT reach.a, near.b FROM reach JOIN near ON reach.b = near.a JOIN core ON core.id = near.b)"""
+
+
+@query("WITH RECURSIVE " + _POINTS.format(r=0.8) + " SELECT p.id, core.id IS NOT NULL AS core FROM p LEFT JOIN core ON p.id = core.id")
 def grid_density(spark: SparkSession, d: str) -> DataFrame:
-    """Core points of a density clustering in two dimensions: neighbours within a radius by grid-cell joins."""
-    p = sequences(spark, d).select(F.col("doc_id").alias("id"), F.log10(F.length("sequence") + 1.0).alias("x"), (F.length("sequence") % 97 / 97.0).alias("y"))
-    return I.core_points(p, 0.05, 5)
+    """Core points of a density clustering in two dimensions, over a grid of cells."""
+    return K.core_points(spark, _points(spark, d), 0.8, 20).select("id", "core")
+
+
+@query("WITH RECURSIVE " + _POINTS.format(r=0.8) + " SELECT a AS id, min(b) AS cluster FROM reach GROUP BY a")
+def density_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Clusters of the core points, named by their least id."""
+    c = K.density_clusters(spark, _points(spark, d), 0.8, 20).where("core")
+    names = c.groupBy("cluster").agg(F.min("id").alias("name"))
+    return c.join(names, "cluster").select("id", F.col("name").alias("cluster"))
+
+
+@query()
+def cluster_stability(spark: SparkSession, d: str) -> DataFrame:
+    """Clusters at radius 0.8 against those at 1.0 and 1.2: the best Jaccard share of each."""
+    p = cut(spark, _points(spark, d), "points")
+    base = cut(spark, K.density_clusters(spark, p, 0.8, 20), "clusters")
+    parts = [K.stability(base, K.density_clusters(spark, p, r, 20)).withColumn("radius", F.lit(r)) for r in (1.0, 1.2)]
+    return parts[0].unionByName(parts[1])
