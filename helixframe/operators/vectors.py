@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import cut
 
-QUERY_ROWS, GROUP_ROWS, FAN = 1024, 8192, 16
+#: Vectors of a query group stay in a task while candidate groups stream past: few copies of the candidates.
+QUERY_ROWS, GROUP_ROWS, FAN = 32_768, 8192, 16
+STEP_CELLS = 1 << 22
 DIGITS = 6
 
 
@@ -42,18 +44,20 @@ def _tile(k: int, near: float):
             qi = np.frombuffer(q["q_ids"].iloc[0], np.int64)
             qv = np.frombuffer(q["q_v"].iloc[0]).reshape(len(qi), -1)
             ci = np.frombuffer(c["ids"].iloc[0], np.int64)
-            sims = np.round(qv @ np.frombuffer(c["v"].iloc[0]).reshape(len(ci), -1).T, DIGITS)
-            for me, row in zip(qi, sims):
-                use = np.flatnonzero(ci != me)
-                best = use[np.lexsort((ci[use], -row[use]))][:k] if len(use) <= 4 * k else None
-                if best is None:
-                    least = np.partition(row[use], len(use) - k)[len(use) - k]
-                    use2 = use[row[use] >= least]
-                    best = use2[np.lexsort((ci[use2], -row[use2]))][:k]
-                out["query"].append(int(me))
-                out["part"].append(int(key[1]))
-                out["best"].append([{"s": -float(row[i]), "id": int(ci[i])} for i in best])
-                out["close"].append(int((row[use] >= near).sum()))
+            cv = np.frombuffer(c["v"].iloc[0]).reshape(len(ci), -1).T
+            step = max(1, STEP_CELLS // len(ci))
+            for lo in range(0, len(qi), step):
+                for me, row in zip(qi[lo : lo + step], np.round(qv[lo : lo + step] @ cv, DIGITS)):
+                    use = np.flatnonzero(ci != me)
+                    best = use[np.lexsort((ci[use], -row[use]))][:k] if len(use) <= 4 * k else None
+                    if best is None:
+                        least = np.partition(row[use], len(use) - k)[len(use) - k]
+                        use2 = use[row[use] >= least]
+                        best = use2[np.lexsort((ci[use2], -row[use2]))][:k]
+                    out["query"].append(int(me))
+                    out["part"].append(int(key[1]))
+                    out["best"].append([{"s": -float(row[i]), "id": int(ci[i])} for i in best])
+                    out["close"].append(int((row[use] >= near).sum()))
         return pd.DataFrame(out)
 
     return run

@@ -38,7 +38,7 @@ def _vectors(spark, d):
     return V.usable(table(spark, d, "embeddings"), "embedding").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"), "label")
 
 
-_PAIRS = "e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, label FROM embeddings), p AS (SELECT q.id AS query, c.id AS neighbour, q.v AS qv, c.v AS cv FROM e q JOIN e c ON q.id % 50 = 0 AND q.id <> c.id AND c.label % 2 = 0)"
+_PAIRS = "e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, label FROM embeddings), p AS (SELECT q.id AS query, c.id AS neighbour, q.v AS qv, c.v AS cv FROM e q JOIN e c ON q.id % 50 = 0 AND q.id <> c.id)"
 _FIVE = "r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY s DESC, neighbour)::INTEGER AS rank FROM x)"
 
 
@@ -46,13 +46,20 @@ _FIVE = "r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY s DESC,
 SELECT query, rank, neighbour, round(sqrt(greatest(sq - 2 * s, 0)), 4) AS distance FROM r WHERE rank <= 5""")
 def vector_search_l2(spark: SparkSession, d: str) -> DataFrame:
     e = _vectors(spark, d)
-    return V.search(spark, e, e.where("id % 50 = 0"), 5, "l2", F.col("label") % 2 == 0).withColumns({"distance": F.round("distance", 4), "rank": F.col("rank").cast("int")})
+    return V.search(spark, e, e.where("id % 50 = 0"), 5, "l2").withColumns({"distance": F.round("distance", 4), "rank": F.col("rank").cast("int")})
 
 
 @query(f"""WITH {_PAIRS}, x AS (SELECT query, neighbour, round(list_inner_product(qv, cv), 6) AS s FROM p), {_FIVE} SELECT query, rank, neighbour, -s AS distance FROM r WHERE rank <= 5""")
 def vector_search_dot(spark: SparkSession, d: str) -> DataFrame:
     e = _vectors(spark, d)
-    return V.search(spark, e, e.where("id % 50 = 0"), 5, "dot", F.col("label") % 2 == 0).withColumn("rank", F.col("rank").cast("int"))
+    return V.search(spark, e, e.where("id % 50 = 0"), 5, "dot").withColumn("rank", F.col("rank").cast("int"))
+
+
+@query(f"""WITH {_PAIRS}, x AS (SELECT query, neighbour, round(list_inner_product(qv, cv), 6) AS s FROM p JOIN e ON e.id = neighbour AND e.label = 3), {_FIVE} SELECT query, rank, neighbour, -s AS distance FROM r WHERE rank <= 5""")
+def vector_search_filtered(spark: SparkSession, d: str) -> DataFrame:
+    """Search among the rows that a metadata filter allows."""
+    e = _vectors(spark, d)
+    return V.search(spark, e, e.where("id % 50 = 0"), 5, "dot", F.col("label") == 3).withColumn("rank", F.col("rank").cast("int"))
 
 
 @query("""SELECT i::INTEGER AS dim, round(cos(i * pi() * (3 - sqrt(5))) * sqrt(1 - (1 - 2 * (i + 0.5) / 64) ** 2), 6) AS x, round(1 - 2 * (i + 0.5) / 64, 6) AS y,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lineage as L
 from ..operators import vectors as V
+from ..operators.ann import Index
 from ..operators.hierarchy import prefix_tree, pruned_tree
 from ..sources.shared import cut, table
 from .adapters import LIN, lineages
@@ -187,15 +188,38 @@ def cumulative_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query()
-def ann_lsh(spark: SparkSession, d: str) -> DataFrame:
-    """Approximate neighbours by random-projection buckets on unit vectors, for every query divisible by 50."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
+def ann_search(spark: SparkSession, d: str) -> DataFrame:
+    """Approximate neighbours from an inverted index over all rows, for every query divisible by 50."""
+    u = _units(spark, d)
+    index = Index(spark, u)
+    return index.search(u.where("id % 50 = 0"), K, index.probes_for(K))
 
-    u = _units(spark, d).withColumn("f", array_to_vector("v"))
-    model = BucketedRandomProjectionLSH(inputCol="f", outputCol="h", bucketLength=0.5, numHashTables=4, seed=7).fit(u)
-    j = model.approxSimilarityJoin(u.where("id % 50 = 0"), u, 1.2, "distance")
-    return j.select(F.col("datasetA.id").alias("query"), F.col("datasetB.id").alias("neighbour"), r6(F.col("distance"), "distance")).where("query <> neighbour")
+
+@query("SELECT count(*) AS queries, TRUE AS reached FROM embeddings WHERE vec_id % 50 = 0")
+def ann_recall(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the index finds nine of ten of the exact neighbours of all queries."""
+    u = _units(spark, d)
+    index, queries = Index(spark, u), u.where("id % 50 = 0")
+    return queries.agg(F.count(F.lit(1)).alias("queries"), F.lit(index.recall(queries, K, index.probes_for(K)) >= 0.9).alias("reached"))
+
+
+_PATHS = """u AS (SELECT vec_id AS id, i, embedding[i]::DOUBLE / sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS x, [label % 2, 10 + label, 1000 + vec_id % 97] AS p FROM embeddings, unnest(range(1, len(embedding) + 1)) AS t(i)),
+e AS (SELECT id, i, x, d, array_to_string(p[1:d::INTEGER], ';') AS node FROM u, unnest(range(1, 4)) AS r(d)),
+c AS (SELECT node, i, sum(x) AS s FROM e GROUP BY ALL HAVING count(*) >= 20), nn AS (SELECT node, sqrt(sum(s * s)) AS norm FROM c GROUP BY node),
+w AS (SELECT id, max(d) AS d FROM e SEMI JOIN nn USING (node) GROUP BY id)"""
+
+
+@query(f"""WITH {_PATHS} SELECT e.id, e.node, e.d::INTEGER AS depth, round(1 - least(greatest(sum(e.x * c.s / nn.norm), -1), 1), 6) AS distance
+FROM e JOIN w ON w.id = e.id AND w.d = e.d JOIN c ON c.node = e.node AND c.i = e.i JOIN nn ON nn.node = e.node GROUP BY 1, 2, 3""")
+def prefix_dispersion(spark: SparkSession, d: str) -> DataFrame:
+    """Distance of each vector to the centroid of its deepest lineage prefix of 20 members or more."""
+    u = _units(spark, d)
+    path = F.array((F.col("label") % 2).cast("string"), (F.col("label") + 10).cast("string"), (F.col("id") % 97 + 1000).cast("string"))
+    e = u.select("id", "v", F.explode(F.transform(F.sequence(F.lit(1), F.lit(3)), lambda k: F.struct(k.alias("depth"), F.array_join(F.slice(path, F.lit(1), k), ";").alias("node")))).alias("s"))
+    e = cut(spark, e.select("id", "v", "s.depth", "s.node"), "prefixes")
+    c = V.centroids(e, "node", "v", 20)
+    j = e.join(c, "node").select("id", F.struct("depth", "node", (1 - F.least(F.greatest(V.dot(F.col("v"), F.col("centroid")), F.lit(-1.0)), F.lit(1.0))).alias("distance")).alias("s"))
+    return j.groupBy("id").agg(F.max("s").alias("s")).select("id", "s.node", "s.depth", r6(F.col("s.distance"), "distance"))
 
 
 @query()
