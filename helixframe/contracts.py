@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Columns of the tables, in their order.
 KEY = ("record_id", "start", "end")
 _TEXT = (
     "begin_of_sequence", "end_of_sequence", "begin_of_gene", "end_of_gene", "gene_type", "species_type",
@@ -49,6 +50,16 @@ def missing_by_input(inputs: dict[str, DataFrame], required: dict[str, tuple]) -
     return {n: m for n, df in inputs.items() if (m := sorted(set(required[n]) - set(df.columns)))}
 
 
+def preflight(inputs: dict[str, DataFrame], required: dict[str, tuple], status: str) -> bool:
+    """Whether no input lacks a column; writes a status document (``ready`` or ``halted``, with what is missing)."""
+    import json
+
+    lacking = missing_by_input(inputs, required)
+    with open(status, "w") as f:
+        json.dump({"status": "halted" if lacking else "ready", "missing": lacking}, f, indent=2, sort_keys=True)
+    return not lacking
+
+
 def assert_ordered(df: DataFrame, expected) -> None:
     if tuple(df.columns) != tuple(expected):
         raise ValueError(f"columns {df.columns}, expected {list(expected)}")

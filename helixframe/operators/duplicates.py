@@ -19,7 +19,9 @@ def report(collapsed: DataFrame) -> DataFrame:
 
 
 def keep_first(df: DataFrame, key: tuple[str, ...], *order: str) -> DataFrame:
-    """The row of each key that is first in ``order``; a minimum per key, aggregated before the shuffle."""
-    rest = [c for c in df.columns if c not in key and c not in order]
-    first = df.groupBy(*key).agg(F.min(F.struct(*order, *rest)).alias("_r"))
-    return first.select(*key, "_r.*").select(*df.columns)
+    """The row of each key that is first in ``order``, ties by the other columns that can be ordered; one aggregation
+    before the shuffle, columns of any type."""
+    plain = [f.name for f in df.schema if f.name not in (*key, *order) and not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    own = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    first = df.groupBy(*key).agg(F.min_by(own, F.struct(*[F.col(f"`{c}`") for c in (*order, *plain)])).alias("_r"))
+    return first.select("_r.*")

@@ -73,6 +73,9 @@ def infer(df: DataFrame, scorer: Scorer, key: tuple[str, ...] = KEY, buckets: tu
     def run(batches):
         for pdf in batches:
             lengths = pdf["token_length"].to_numpy(np.int64)
+            flat = [np.concatenate([np.empty(0, np.int64), *pdf[c]]) for c in ("token_ids", "token_mask")]  # of the batch, end to end
+            sizes = pdf["token_ids"].map(len).to_numpy(np.int64)
+            begin = np.cumsum(sizes) - sizes
             place = np.searchsorted(buckets, lengths)
             rows: list[tuple] = [("context", *[None] * 9)] * len(pdf)
             for b, width in enumerate(buckets):
@@ -80,8 +83,9 @@ def infer(df: DataFrame, scorer: Scorer, key: tuple[str, ...] = KEY, buckets: tu
                 step = max(1, CALL_TOKENS // width)
                 for part in (at[i : i + step] for i in range(0, len(at), step)):
                     ids, mask = np.full((len(part), width), PAD, np.int64), np.full((len(part), width), PAD_MASK, np.int64)
-                    for r, i in enumerate(part):
-                        ids[r, : lengths[i]], mask[r, : lengths[i]] = pdf["token_ids"].iloc[i], pdf["token_mask"].iloc[i]
+                    inside = np.arange(width) < lengths[part][:, None]
+                    at_flat = (begin[part][:, None] + np.arange(width))[inside]
+                    ids[inside], mask[inside] = flat[0][at_flat], flat[1][at_flat]
                     for i, got in zip(part, _score(scorer, ids, mask)):
                         rows[i] = got
             out = pd.DataFrame({c: pd.Series([r[k] for r in rows], dtype=object) for k, c in enumerate(names)})

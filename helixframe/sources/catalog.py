@@ -39,6 +39,20 @@ class Catalog:
     def tables(self) -> list[str]:
         return [n for n, node in NODES.items() if not node.streaming and n in self.paths]
 
+    def exists(self, node: str) -> bool:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths[node])
+        return node in self.paths and at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
+
+    def sync(self) -> list[str]:
+        """Attach the tables that exist now, drop the views of those that are gone; the attached ones."""
+        there = [n for n in self.tables() if self.exists(n)]
+        for n in self.tables():
+            if n in there:
+                self.load(n).createOrReplaceTempView(n)
+            else:
+                self.spark.catalog.dropTempView(n)
+        return there
+
     def load(self, node: str) -> DataFrame:
         if NODES[node].streaming:
             raise ValueError(f"{node} is a stream, not a table")
@@ -72,8 +86,13 @@ def lineage_of(node: str) -> list[str]:
     return out
 
 
-def provenance(executions: list[dict] | None = None) -> str:
-    return json.dumps({"nodes": [asdict(n) for n in NODES.values()], "executions": executions or []}, indent=2, default=str)
+def provenance(executions: list[dict] | None = None, operations: dict[str, str] | None = None, analyses: dict[str, list[str]] | None = None) -> str:
+    """Nodes with all their ancestors, the operation that makes each, analyses with the nodes they read, executions."""
+    for name, reads in (analyses or {}).items():
+        if gone := set(reads) - set(NODES):
+            raise KeyError(f"analysis {name} reads unknown nodes {sorted(gone)}")
+    nodes = [asdict(n) | {"ancestors": lineage_of(n.name), "operation": (operations or {}).get(n.name)} for n in NODES.values()]
+    return json.dumps({"nodes": nodes, "analyses": analyses or {}, "executions": executions or []}, indent=2, default=str)
 
 
 @dataclass(frozen=True)

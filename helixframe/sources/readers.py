@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import KEY, TIERS, assert_columns
@@ -51,6 +51,25 @@ def check_url_glob(url: str, suffix: str = ".parquet") -> str:
     return last
 
 
+def list_glob(spark: SparkSession, url: str) -> list[str]:
+    """Files that an URL pattern names, sorted; raises where there are none."""
+    check_url_glob(url)
+    at = spark._jvm.org.apache.hadoop.fs.Path(url)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    files = sorted(f.getPath().toString() for f in found or [])
+    if not files:
+        raise FileNotFoundError(f"no file matches {url}")
+    return files
+
+
+def quote_identifier(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def quote_string(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class Registry:
     """Relations by name, as temporary views."""
 
@@ -74,9 +93,7 @@ class Registry:
         return sorted(self.names)
 
     def query(self, sql: str, args: list | None = None) -> DataFrame:
-        """SQL with positional parameters; a wrong number of them raises."""
-        if (n := sql.count("?")) != len(args or []):
-            raise ValueError(f"{n} parameters in the statement, {len(args or [])} given")
+        """SQL with positional parameters; Spark raises where one is missing."""
         return self.spark.sql(sql, args=args or None)
 
 
@@ -94,15 +111,16 @@ def strata(df: DataFrame, field: str, values, columns=None) -> dict:
     return {v: stratum(df, field, v, columns) for v in values}
 
 
-def find_key(df: DataFrame, key: dict) -> DataFrame:
-    """The row of a full key; raises where there is none."""
-    hit = df
+def find_key(df: DataFrame, key: dict, scanned: Observation | None = None) -> DataFrame:
+    """The row of a full key; raises where there is none. ``scanned`` counts the rows (``rows``) that were read
+    before the search stopped."""
+    hit = df if scanned is None else df.observe(scanned, F.count(F.lit(1)).alias("rows"))
     for c, v in key.items():
         hit = hit.where(F.col(c) == F.lit(v))
-    hit = hit.limit(1)
-    if hit.isEmpty():
+    found = hit.limit(1).collect()
+    if not found:
         raise LookupError(f"no row for {key}")
-    return hit
+    return df.sparkSession.createDataFrame(found, df.schema)
 
 
 def csv(spark: SparkSession, path: str, schema=None, columns=None) -> DataFrame:
