@@ -55,8 +55,9 @@ def record_metrics(spark: SparkSession, df: DataFrame) -> DataFrame:
     s = cut(spark, s, "record-metrics")
     names = {"la": "length_adjusted", "ca": "composition_adjusted", "ts": "token_surprise", "sd": "per_token_logprob_std"}
     rows = [s.agg(*[f(c).alias(f"_{k}_{n}") for k, c in names.items() for n, f in (("mean", F.avg), ("sd", F.stddev_samp))])]
-    rows.append(quantiles(spark, s, "length_adjusted", {"_la_med": 0.5, "_la_low": 0.05, "_la_high": 0.95}, interpolated=False))
-    rows.append(quantiles(spark, s, "composition_adjusted", {"_ca_low": 0.05, "_ca_high": 0.95}, interpolated=False))
+    two = s.select(F.col("length_adjusted").alias("la"), F.col("composition_adjusted").alias("ca")).unpivot([], ["la", "ca"], "metric", "x")
+    q = cut(spark, quantiles(spark, two, "x", {"low": 0.05, "med": 0.5, "high": 0.95}, ("metric",), interpolated=False), "record-quantiles")
+    rows.append(q.agg(*[F.max(F.when(F.col("metric") == k, F.col(p))).alias(f"_{k}_{p}") for k in ("la", "ca") for p in ("low", "med", "high")]))
     center = rows[1].select("_la_med")
     away = s.crossJoin(F.broadcast(center)).select(F.abs(F.col("length_adjusted") - F.col("_la_med")).alias("away"))
     rows.append(quantiles(spark, away, "away", {"_la_mad": 0.5}, interpolated=False))
@@ -101,11 +102,15 @@ def anomaly_layers(spark: SparkSession, df: DataFrame, recurrent: tuple[int, ...
     z["length_z_robust"] = robust_iqr(F.col("sequence_length"), F.col("_q2"), F.col("_q1"), F.col("_q3"))
     z |= {f"{k}_z": F.when(large, zscore(F.col(c), F.col(f"_{k}_mean"), F.col(f"_{k}_sd"))).otherwise(0.0) for k, c in GROUPED.items()}
     out = out.withColumns(z)
+    # one pass over all ranked columns in long form
+    long = df.select(F.col(group).alias("_group"), *[F.col(c).cast("double").alias(name) for name, c in RANKED.items()]).unpivot("_group", list(RANKED), "_metric", "x")
+    ranks = value_counts(spark, long, "x", ("_group", "_metric"))
+    below = F.when(F.col("n") > 1, (F.col("upto_c") - F.col("c")) / (F.col("n") - 1)).otherwise(0.0)
+    ranks = cut(spark, ranks.select("_group", "_metric", F.col("value").alias("_value"), below.alias("_below")), "anomaly-ranks")
     for name, c in RANKED.items():
-        ranks = value_counts(spark, df, c, (group,))
-        below = F.when(F.col("n") > 1, (F.col("upto_c") - F.col("c")) / (F.col("n") - 1)).otherwise(0.0)
-        out = out.join(ranks.select(F.col(group).alias("_group"), F.col("value").alias("_value"), below.alias(f"_{name}")), (F.col(group) == F.col("_group")) & (F.col(c) == F.col("_value")), "left")
-        out = out.withColumn(name, F.when(large, F.col(f"_{name}"))).drop("_group", "_value")
+        own = ranks.where(F.col("_metric") == name).drop("_metric")
+        out = out.join(own, (F.col(group) == F.col("_group")) & (F.col(c).cast("double") == F.col("_value")), "left")
+        out = out.withColumn(name, F.when(large, F.col("_below"))).drop("_group", "_value", "_below")
     size = {k: F.abs(F.col(k)) for k in z}
     mean = lambda *names: sum((size[f"{n}_z"] for n in names[1:]), size[f"{names[0]}_z"]) / len(names)
     edge = F.least(F.abs(F.col("argmin_position").cast("double")), F.abs(F.col("sequence_length") - F.col("argmin_position")))
