@@ -36,12 +36,12 @@ from .common import cut, table
 
 CAPACITY = 1024
 END_ID = 2
-SHARD = 2048
+SHARD = 8192
 ROWS = 1024
 ISLANDS = 2
 EPOCHS = 2
-POPULATION = 3
-GENERATIONS = 3
+POPULATION = 4
+GENERATIONS = 12
 WELL_FILLED = 0.98
 SPECIAL = {"<|endoftext|>": 50256}
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
