@@ -2,6 +2,13 @@
 
 Every stage takes what the stage before it kept, written as Parquet and read again. All but the
 last return the columns of ``documents``; the last returns the packing (a row per piece).
+
+Edge cases. A null or empty text fails the quality rules and goes there; given to a later stage it stays: it
+links with nothing, holds no personal data, is never drawn but gets its source's certain copies, and packs as one
+piece holding the end id. A null source is a source of its own. Rows that share an id, or have none, are judged
+row by row; of equal rows the Jaccard stage keeps one. Ties go to the smaller id, then to the smaller columns.
+Very long texts are read whole. An empty table gives an empty table; further columns pass through, whatever
+their names.
 """
 
 from __future__ import annotations
