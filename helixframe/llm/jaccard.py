@@ -419,12 +419,17 @@ def _rows_with_components(spark: SparkSession, docs: DataFrame, k: int, num: int
     tiles = tiles.join(classes.select("sig", "cells"), "sig").withColumn("g", F.pmod(F.xxhash64("token", "i", "j"), F.lit(groups)).cast("int"))
     pairs = tiles.groupBy("g").applyInPandas(_tiles(num, den), "a bigint, b bigint, na int, nb int").distinct().withColumn("copies", F.lit(1).cast("bigint"))
     links.add(verify(cut(spark, pairs, "jaccard-tile-pairs"), segments, num, den))
-    # smallest id of each component
-    members = links.of(sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least")))
-    least = members.groupBy("comp").agg(F.min("least").alias("component_id"))
-    named = members.select("sig", "comp").join(least, "comp").select(F.col("sig").alias("_sig"), "comp", "component_id")
-    real = sets.withColumn("sig", F.when(F.col("n") > 0, F.col("sig")))
-    return real.join(named, F.col("sig") == F.col("_sig"), "left").select("doc_id", "n", "sig", "comp", F.coalesce("component_id", "doc_id").alias("component_id")), collided
+    # smallest id of each component; a component or a class may hold a third of all rows
+    members = sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
+    members = cut(spark, links.of(members), "jaccard-members")
+    least = members.groupBy(F.col("comp").alias("_key")).agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m"))
+    named = join_spread(spark, members, "comp", least, "jaccard-least")
+    named = named.select(F.col("sig").alias("_key"), "comp", "component_id", F.col("rows").alias("m"))
+    found = join_spread(spark, sets.where("n > 0").select("doc_id", "n", "sig"), "sig", named, "jaccard-named")
+    none = F.lit(None).cast("bigint")
+    blank = sets.where("n = 0").select("doc_id", "n", none.alias("sig"), none.alias("comp"), F.col("doc_id").alias("component_id"))
+    found = found.select("doc_id", "n", "sig", "comp", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return found.unionByName(blank), collided
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
