@@ -36,7 +36,7 @@ from .common import cut, table
 
 CAPACITY = 1024
 END_ID = 2
-SHARD = 8192
+SHARD = 2048
 ROWS = 1024
 ISLANDS = 2
 EPOCHS = 2
