@@ -59,7 +59,7 @@ SEGMENTS = 16
 CELLS = 64
 STARS = 3
 TILE = 512
-TILE_ROWS = 4000
+TILE_ROWS = 500
 SIGNED_ROWS = 512
 COPY_PAIRS = 1024
 _U = np.uint64
