@@ -7,6 +7,9 @@ a call that runs out of memory is halved down to one row, which then is quaranti
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Callable
 from typing import Protocol
 
 import numpy as np
@@ -42,6 +45,29 @@ class StandIn:
         return -(ids % 13 + 1) / 4.0, hidden
 
 
+_REVISION = re.compile("[0-9a-f]{7,64}")
+_made: dict[str, Scorer] = {}
+
+
+class Lazy:
+    """A scorer that ``make(revision)`` gives, made once in each worker process when a row first needs it, so that no
+    model travels with tasks. The revision is a commit's hash: a name that may move is refused. Each width of ``warm``
+    is scored once before the first rows, for scorers that compile by shape."""
+
+    def __init__(self, make: Callable[[str], Scorer], revision: str, dim: int, warm: tuple[int, ...] = ()):
+        if not _REVISION.fullmatch(revision):
+            raise ValueError(f"not a pinned revision: {revision!r}")
+        self.make, self.revision, self.dim, self.warm, self.key = make, revision, dim, warm, uuid.uuid4().hex
+
+    def __call__(self, ids: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.key not in _made:
+            scorer = self.make(self.revision)
+            for width in self.warm:
+                scorer(np.full((1, width), PAD, np.int64), np.full((1, width), PAD_MASK, np.int64))
+            _made[self.key] = scorer
+        return _made[self.key](ids, mask)
+
+
 def _reduce(log_probs: np.ndarray, hidden: np.ndarray, mask: np.ndarray) -> list[tuple]:
     """Per row: mean of the states of all tokens but padding, and statistics of supervised positions (shifted by one)."""
     real = mask != PAD_MASK

@@ -8,6 +8,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import TIERS
+from .sinks import exists
 
 
 @dataclass(frozen=True)
@@ -40,8 +41,7 @@ class Catalog:
         return [n for n, node in NODES.items() if not node.streaming and n in self.paths]
 
     def exists(self, node: str) -> bool:
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths[node])
-        return node in self.paths and at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
+        return node in self.paths and exists(self.spark, self.paths[node])
 
     def sync(self) -> list[str]:
         """Attach the tables that exist now, drop the views of those that are gone; the attached ones."""

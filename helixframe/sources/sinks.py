@@ -44,6 +44,11 @@ def _file_system(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _file_system(spark, path)
+    return fs.exists(at)
+
+
 def _swap(spark: SparkSession, stage: str, path: str) -> None:
     """The staged folder takes the target's place; the old one goes last, and comes back if the move fails."""
     fs, target = _file_system(spark, path)
@@ -146,8 +151,7 @@ class VectorTable:
         return self.rows() - before
 
     def rows(self) -> int:
-        fs, at = _file_system(self.spark, self.path)
-        return self.spark.read.parquet(self.path).count() if fs.exists(at) else 0
+        return self.spark.read.parquet(self.path).count() if exists(self.spark, self.path) else 0
 
 
 def stream_arrow(df: DataFrame, rows: int = 65_536) -> Iterator[pa.RecordBatch]:

@@ -24,6 +24,46 @@ def test_all_jobs(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/likelihood_stats").count() == n["embeddings"]
 
 
+def test_inference_within_a_budget_resumes(spark, tmp_path):
+    raw(spark).write.parquet(f"{tmp_path}/raw")
+    jobs.run_cpu(spark, f"{tmp_path}/raw", f"{tmp_path}/cpu")
+    jobs.run_tokenize(spark, f"{tmp_path}/cpu", f"{tmp_path}/once")
+    spark.read.parquet(f"{tmp_path}/once").repartition(5, "record_id").write.parquet(f"{tmp_path}/tok")
+    tokens = spark.read.parquet(f"{tmp_path}/tok")
+    files, root = sorted(tokens.inputFiles()), f"{tmp_path}/out"
+    # a first run broke off: one output is there, the list of files is not
+    sinks.append_input(spark, tokens.select("record_id", "start", "end"), f"{root}/embeddings", files[0].rpartition("/")[2].partition(".")[0], 100)
+    done = 0
+    for _ in files:  # a budget below any file: one file a run
+        n, held = jobs.run_inference_within(spark, f"{tmp_path}/tok", root, 1)
+        done += n
+        assert n > 0 and held == 0
+    assert jobs.run_inference_within(spark, f"{tmp_path}/tok", root, 1) == (0, 0)
+    key = lambda df: sorted(r.record_id for r in df.select("record_id").collect())
+    for name in ("embeddings", "likelihood_stats"):
+        assert key(spark.read.parquet(f"{root}/{name}")) == key(tokens)
+    assert done == tokens.count() and spark.read.parquet(f"{root}/done").count() == len(files)
+    whole = f"{tmp_path}/whole"
+    assert jobs.run_inference_within(spark, f"{tmp_path}/tok", whole, 10**9, model.Lazy(lambda revision: model.StandIn(), "0" * 40, 4, (16,))) == (done, 0)
+
+
+def test_lazy_scorer_is_pinned_and_made_once(monkeypatch):
+    monkeypatch.setattr(model, "_made", {})
+    made = []
+
+    def make(revision):
+        made.append(revision)
+        return model.StandIn()
+
+    ids = np.arange(6)[None]
+    lazy = model.Lazy(make, "0123abc", 4, (8,))
+    assert not made and np.array_equal(lazy(ids, ids)[0], model.StandIn()(ids, ids)[0])
+    lazy(ids, ids)
+    assert made == ["0123abc"]
+    with pytest.raises(ValueError):
+        model.Lazy(make, "main", 4)
+
+
 class Narrow(model.StandIn):
     """Has memory for one short row at a time."""
 

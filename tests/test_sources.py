@@ -120,7 +120,7 @@ def test_tiers_folders_and_strata(spark, tmp_path):
 
 def test_catalog_sync_describe_and_provenance(spark, tmp_path):
     c = catalog.Catalog(spark, {"tokenized": f"{tmp_path}/tok", "embeddings": f"{tmp_path}/emb"})
-    assert c.sync() == [] and not c.exists("tokenized")
+    assert c.sync() == [] and not c.exists("tokenized") and not c.exists("sampled_cpu")
     spark.range(4).write.parquet(f"{tmp_path}/tok")
     assert c.sync() == ["tokenized"] and spark.sql("SELECT count(*) AS n FROM tokenized").first().n == 4
     assert c.describe("tokenized")["columns"] == {"id": "bigint"}
