@@ -36,7 +36,8 @@ base AS (SELECT *, CASE WHEN sd > 0 THEN (mean_log_prob - least) / sd ELSE 0 END
 
 @query(f"WITH {_INT} SELECT record_id, start, part, round(local_z, 5) AS local_anomaly_z, burn_in AS is_burn_in, round(background, 5) AS background_mean_log_prob, round(depth, 5) AS anomaly_depth_ratio FROM base")
 def likelihood_base(spark: SparkSession, d: str) -> DataFrame:
-    return Y.likelihood_base(intervals(spark, d)).select(*KEY, r5("local_anomaly_z"), "is_burn_in", r5("background_mean_log_prob"), r5("anomaly_depth_ratio"))
+    x = {c: St.rounded(F.col(c), 5).alias(c) for c in ("local_anomaly_z", "background_mean_log_prob", "anomaly_depth_ratio")}
+    return Y.likelihood_base(intervals(spark, d)).select(*KEY, x["local_anomaly_z"], "is_burn_in", x["background_mean_log_prob"], x["anomaly_depth_ratio"])
 
 
 _MODEL = f"""{_INT}, v AS (SELECT *, ln(1 + sequence_length) AS x FROM base), l AS (SELECT regr_slope(mean_log_prob, x) AS b, regr_intercept(mean_log_prob, x) AS a FROM v),
@@ -80,7 +81,7 @@ def length_conditional(spark: SparkSession, d: str) -> DataFrame:
     out = x.groupBy("decile").agg(F.count(F.lit(1)).alias("n"), F.min("sequence_length").alias("low"), F.max("sequence_length").alias("high"))
     for name, c, places in (("raw_median", "mean_log_prob", 5), ("adjusted_median", "length_adjusted", 4), ("background_median", "background_mean_log_prob", 5), ("local_median", "local_anomaly_z", 5)):
         q = St.quantiles(spark, x, c, {name: 0.5}, ("decile",), interpolated=False)
-        out = out.join(q.withColumn(name, F.round(name, places)), "decile")
+        out = out.join(q.withColumn(name, St.rounded(F.col(name), places)), "decile")
     return out
 
 
