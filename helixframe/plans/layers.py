@@ -10,7 +10,7 @@ from ..operators import layers as Y
 from ..sources.shared import cut, table
 from .registry import query
 
-r5 = lambda c: F.round(c, 5).alias(c)
+r5 = lambda c: St.rounded(F.col(c), 5).alias(c)
 KEY = ("record_id", "start", "part")
 RECURRENT = (7, 13, 21)
 
@@ -36,8 +36,7 @@ base AS (SELECT *, CASE WHEN sd > 0 THEN (mean_log_prob - least) / sd ELSE 0 END
 
 @query(f"WITH {_INT} SELECT record_id, start, part, round(local_z, 5) AS local_anomaly_z, burn_in AS is_burn_in, round(background, 5) AS background_mean_log_prob, round(depth, 5) AS anomaly_depth_ratio FROM base")
 def likelihood_base(spark: SparkSession, d: str) -> DataFrame:
-    x = {c: St.rounded(F.col(c), 5).alias(c) for c in ("local_anomaly_z", "background_mean_log_prob", "anomaly_depth_ratio")}
-    return Y.likelihood_base(intervals(spark, d)).select(*KEY, x["local_anomaly_z"], "is_burn_in", x["background_mean_log_prob"], x["anomaly_depth_ratio"])
+    return Y.likelihood_base(intervals(spark, d)).select(*KEY, r5("local_anomaly_z"), "is_burn_in", r5("background_mean_log_prob"), r5("anomaly_depth_ratio"))
 
 
 _MODEL = f"""{_INT}, v AS (SELECT *, ln(1 + sequence_length) AS x FROM base), l AS (SELECT regr_slope(mean_log_prob, x) AS b, regr_intercept(mean_log_prob, x) AS a FROM v),
