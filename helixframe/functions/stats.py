@@ -31,8 +31,8 @@ def finite_or_null(x: Column) -> Column:
 def rounded(x: Column, places: int) -> Column:
     """A double to so many places as the SQL has it: the binary product with a power of ten decides, halves go away from
     zero. ``F.round`` goes by the shortest decimal form of x and differs next to a half (0.128125 to 5 places)."""
-    scaled = F.round(x * F.lit(10.0**places)) / F.lit(10.0**places)
-    return F.when(F.abs(scaled) < F.lit(float("inf")), scaled).otherwise(x)
+    product = x * F.lit(10.0**places)
+    return F.when(F.abs(product) < F.lit(float("inf")), F.round(product) / F.lit(10.0**places)).otherwise(x)
 
 
 def bucket(x: Column, lo: float, hi: float, n: int) -> Column:
